@@ -71,6 +71,7 @@ REJECTED_SCHEMA = _struct(
 )
 
 MART_GRAIN = ["order_date", "store_name", "product_category", "product_name", "shipping_status"]
+MART_PARTITIONS = ["order_year", "order_month"]
 MART_SCHEMA = _struct(
     ("order_date", T.DateType()),
     ("store_name", T.StringType()),

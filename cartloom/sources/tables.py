@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cartloom.schemas import CLEANED_SCHEMA, MART_SCHEMA, RAW_SCHEMA, REJECTED_SCHEMA
+from cartloom.schemas import CLEANED_SCHEMA, MART_PARTITIONS, MART_SCHEMA, RAW_SCHEMA, REJECTED_SCHEMA
+from cartloom.sources.files import exists
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table in declared column order. A table not written yet has no rows;
     any other problem is an error."""
-    try:
-        return spark.read.schema(schema).parquet(path).select(*schema.names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -56,15 +53,26 @@ def overwrite_table(rows: DataFrame, path: str) -> None:
 def mart_layout(mart: DataFrame) -> DataFrame:
     """Rows of a day, store and category together, so filters on them skip row groups.
 
-    Ranges are cut by size over all three columns: one busy day fills several tasks, and a
-    day's rows land in few files.
+    Ranges are cut by size over all three columns: one busy day fills several tasks, and the
+    rows of a month land in few files.
     """
     layout = ["order_date", "store_name", "product_category"]
     return mart.repartitionByRange(*layout).sortWithinPartitions(*layout)
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
-    mart_layout(mart).write.mode("overwrite").partitionBy("order_date").parquet(path)
+    """Replace the mart. It is stored by month: a day has too few rows for files of its own."""
+    mart_layout(mart).write.mode("overwrite").partitionBy(*MART_PARTITIONS).parquet(path)
+
+
+def replace_mart_months(mart: DataFrame, path: str) -> None:
+    """Replace the months that ``mart`` has rows of and leave all others alone."""
+    (
+        mart_layout(mart).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*MART_PARTITIONS)
+        .parquet(path)
+    )
 
 
 def append_dq_results(results: DataFrame, path: str) -> None:

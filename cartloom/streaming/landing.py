@@ -18,6 +18,8 @@ from cartloom.domains import FILE_PATTERN
 from cartloom.sources.landing import land_exports
 from cartloom.sources.manifest import filename_day
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def new_exports(files: DataFrame) -> DataFrame:
     """One message per export among ``files`` (path, modificationTime), dated by its name."""
@@ -46,7 +48,8 @@ def stream_landing(
     by the stream itself, as only path and time are selected.
     """
     files = (
-        spark.readStream.format("binaryFile")
+        spark.readStream.schema(_FILES)
+        .format("binaryFile")
         .option("maxFilesPerTrigger", max_files)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")

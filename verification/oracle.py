@@ -83,7 +83,8 @@ def first_match(rules: list[tuple[str, str]], otherwise: str) -> str:
 
 
 def product(c: str) -> str:
-    key = rf"lower({trim(f'''regexp_replace({c}, '[\s\-]+', '', 'g')''')})"
+    squeeze = f"regexp_replace({c}, '[\\s\\-]+', '', 'g')"
+    key = f"lower({trim(squeeze)})"
     rules = [(f"regexp_matches({key}, {lit('|'.join(parts))})", name) for name, parts in D.PRODUCT_RULES]
     return first_match(rules, title(trim(rf"regexp_replace({c}, '\s+', ' ', 'g')")))
 
