@@ -48,18 +48,24 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging.clean_orders(raw_table(spark, sf_dir), B.AS_OF)
-    return tables.read_cleaned(spark, _stored(spark, sf_dir, "cleaned", lambda p: tables.overwrite_table(rows, p)))
+    def write(path: str) -> None:
+        tables.overwrite_table(staging.clean_orders(raw_table(spark, sf_dir), B.AS_OF), path)
+
+    return tables.read_cleaned(spark, _stored(spark, sf_dir, "cleaned", write))
 
 
 def rejected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = reject_orders(raw_table(spark, sf_dir), B.AS_OF, B.REJECTED_AT)
-    return tables.read_rejected(spark, _stored(spark, sf_dir, "rejected", lambda p: tables.overwrite_table(rows, p)))
+    def write(path: str) -> None:
+        tables.overwrite_table(reject_orders(raw_table(spark, sf_dir), B.AS_OF, B.REJECTED_AT), path)
+
+    return tables.read_rejected(spark, _stored(spark, sf_dir, "rejected", write))
 
 
 def mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = build_fct_orders(cleaned_table(spark, sf_dir), B.AS_OF)
-    return tables.read_mart(spark, _stored(spark, sf_dir, "mart", lambda p: tables.write_mart(mart, p)))
+    def write(path: str) -> None:
+        tables.write_mart(build_fct_orders(cleaned_table(spark, sf_dir), B.AS_OF), path)
+
+    return tables.read_mart(spark, _stored(spark, sf_dir, "mart", write))
 
 
 def _plain(df: DataFrame) -> DataFrame:

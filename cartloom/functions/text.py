@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters Unicode counts as white space.
-WHITE_SPACE = (
-    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+ASCII_WHITE_SPACE = "\t\n\x0b\x0c\r "
+WHITE_SPACE = ASCII_WHITE_SPACE + (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 # The punctuation that starts a new word in title case.
@@ -18,8 +19,13 @@ _MARK = "\x01 "
 
 
 def ws_trim(c: Column) -> Column:
-    """Trim every kind of white space; ``F.trim`` alone takes off only blanks."""
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    """Trim every kind of white space; ``F.trim`` alone takes off only blanks.
+
+    Each end is compared with the whole set, so texts of single-byte characters get the short
+    set: all other white space takes more bytes.
+    """
+    plain = F.octet_length(c) == F.length(c)
+    return F.when(plain, F.btrim(c, F.lit(ASCII_WHITE_SPACE))).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def is_blank(c: Column) -> Column:

@@ -39,70 +39,51 @@ def parsed_amounts() -> dict[str, Column]:
     }
 
 
-def expected_revenue() -> Column:
-    """qty × price − discount on parsed amounts."""
-    return F.col("quantity").try_cast(FACTOR) * F.col("unit_price") - F.col("discount_amount")
-
-
-def revenue_gap() -> Column:
-    return F.abs(F.col("_stated") - F.col("_expected"))
-
-
 def checked_revenue() -> dict[str, Column]:
-    """A stated revenue within the tolerance is kept, any other (also none at all) recomputed.
+    """Revenue and correction flag from parsed amounts: qty × price − discount is expected.
 
+    A stated revenue within the tolerance is kept, any other (also none at all) recomputed.
     The flag stays NULL when there was no readable revenue to compare with.
     """
-    close = F.col("_gap") <= REVENUE_TOLERANCE
+    expected = F.col("quantity").try_cast(FACTOR) * F.col("unit_price") - F.col("discount_amount")
+    gap = F.abs(F.col("_stated") - expected)
     return {
-        "revenue": F.when(close, F.round("_stated", 2)).otherwise(F.round("_expected", 2)),
-        "_revenue_was_corrected": F.col("_gap") > REVENUE_TOLERANCE,
+        "revenue": F.when(gap <= REVENUE_TOLERANCE, F.round("_stated", 2)).otherwise(F.round(expected, 2)),
+        "_revenue_was_corrected": gap > REVENUE_TOLERANCE,
     }
 
 
 def correct_revenue(rows: DataFrame) -> DataFrame:
     """Typed quantity, price, discount and checked revenue in place of the raw texts."""
-    steps = rows.withColumns(parsed_amounts()).withColumn("_expected", expected_revenue())
-    return (
-        steps.withColumn("_gap", revenue_gap())
-        .withColumns(checked_revenue())
-        .drop("_stated", "_expected", "_gap")
-    )
+    return rows.withColumns(parsed_amounts()).withColumns(checked_revenue()).drop("_stated")
 
 
 def type_orders(rows: DataFrame) -> DataFrame:
     """All per-column rules on deduplicated raw rows; row count is unchanged.
 
-    The rules run in four steps. Each step reads some column of the one before more than
-    once, so Spark keeps them as separate projections: nothing is computed twice, and each
-    projection compiles to a method small enough for the JVM to optimize.
+    Two projections: the first prepares what the rules of the second read many times, so Spark
+    keeps them apart and computes each key, text and amount once.
     """
-    parsed = rows.withColumns({
+    prepared = rows.withColumns({
         **parsed_amounts(),
         "_product_key": product_key(F.col("product_name")),
         "store_name": ws_trim(F.col("store_name")),
         "product_category": ws_trim(F.col("product_category")),
         "shipping_status": ws_trim(F.col("shipping_status")),
     })
-    expected = parsed.withColumns({
-        "_expected": expected_revenue(),
-        "product_name": canonical_product(F.col("product_name"), F.col("_product_key")),
-    })
-    named = expected.withColumns({
-        "_gap": revenue_gap(),
-        "store_name": canonical_store(F.col("store_name")),
-        "product_category": canonical_category(F.col("product_category")),
-        "shipping_status": canonical_status(F.col("shipping_status")),
-    })
-    final = named.withColumns({
-        **checked_revenue(),
+    typed = prepared.withColumns({
         **customer_columns(),
+        **checked_revenue(),
         "order_id": ws_trim(F.col("order_id")),
         "order_date": safe_date(F.col("order_date")),
+        "product_name": canonical_product(F.col("product_name"), F.col("_product_key")),
+        "store_name": canonical_store(F.col("store_name")),
+        "product_category": canonical_category(F.col("product_category")),
         "shipping_method": null_if_empty(title_words(ws_trim(F.col("shipping_method")))),
+        "shipping_status": canonical_status(F.col("shipping_status")),
         "payment_method": null_if_empty(title_words(ws_trim(F.col("payment_method")))),
     })
-    return final.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEANED_SCHEMA])
+    return typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEANED_SCHEMA])
 
 
 def valid_orders(orders: DataFrame, as_of: dt.date) -> DataFrame:
