@@ -40,7 +40,6 @@ def stream_landing(
     checkpoint: str,
     clock: Callable[[], dt.datetime],
     max_files: int = 1000,
-    multi_line: bool = True,
 ) -> StreamingQuery:
     """Land everything that is in ``folder`` now and stop; run it again for later arrivals.
 
@@ -58,7 +57,7 @@ def stream_landing(
     )
 
     def land(batch: DataFrame, _: int) -> None:
-        land_exports(batch.sparkSession, new_exports(batch), folder, raw_path, clock(), multi_line)
+        land_exports(batch.sparkSession, new_exports(batch), folder, raw_path, clock())
 
     return (
         files.writeStream.foreachBatch(land)
