@@ -42,6 +42,14 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and safe if executors are lost."""
+    spark = df.sparkSession
+    path = fresh_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; a larger frame is left to the optimizer."""
     counted = df.limit(max_rows + 1).count()
