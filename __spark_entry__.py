@@ -26,6 +26,14 @@ from cartloom.sources import landing, manifest, tables
 from cartloom.streaming.landing import stream_landing
 from verification.oracle import oracle_statements
 
+try:  # the training-data operators may have been left out
+    import corpus_pipeline
+    from cartloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "cartloom.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _written: dict[tuple[str, str, str], str] = {}
@@ -322,12 +330,13 @@ def queries() -> dict[str, Query]:
         "read_only_sql": q_read_only_sql,
         "file_lookup_sql": q_file_lookup_sql,
         "result_preview": q_result_preview,
+        **({**llm_queries.QUERIES, "pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the given tables."""
-    return oracle_statements()
+    return {**oracle_statements(), **(llm_queries.ORACLE_SQL if llm_queries else {})}
 
 
 def entry(spark: SparkSession) -> DataFrame:
