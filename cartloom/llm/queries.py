@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, mixing, sharding
+from cartloom.llm import chat, langid, mixing, neardup, resampling, sharding, tokens
+from cartloom.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece lengths of all documents over a public byte-level vocabulary."""
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.rank_file_pieces(VOCABULARY))
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all documents."""
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op3_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 39 of near equal bytes, equal texts together."""
     return sharding.lpt_shards(table(spark, sf_dir, "documents")).select(
@@ -24,6 +39,28 @@ def op3_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their weight towards good labels; the sample is as large as the good share."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    ratio = resampling.fit_ratio(docs, labels.where(good))
+    weighed = written(resampling.log_weights(docs.select("doc_id", "text"), ratio, F.col("text")).drop("text"), "weights")
+    share = labels.agg(F.avg(good.cast("double"))).first()[0] or 0.0
+    return resampling.gumbel_top_k(weighed, round(share * weighed.count()), F.col("doc_id"))
+
+
+def held_out(doc_id: Column) -> Column:
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train_filter(docs.where(~held_out(F.col("doc_id"))))
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.predict_language(rows, model, F.col("text")).drop("text")
+
+
 def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their place in a mix of the sources, weights tempered by the power 0.7."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -71,7 +108,11 @@ def _op10_sql() -> str:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_lpt_sharding": op3_lpt_sharding,
+    "op7_importance_resampling": op7_importance_resampling,
+    "op8_language_id": op8_language_id,
     "op9_pfair_mixing": op9_pfair_mixing,
     "op10_chat_formatting": op10_chat_formatting,
 }
