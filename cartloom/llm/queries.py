@@ -40,12 +40,12 @@ def op3_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with their weight towards good labels; the sample is as large as the good share."""
+    """All documents, weighed towards good ones; the sample is as large as the share of quality 1."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     ratio = resampling.fit_ratio(docs, labels.where(good))
     weighed = written(resampling.log_weights(docs.select("doc_id", "text"), ratio, F.col("text")).drop("text"), "weights")
-    share = labels.agg(F.avg(good.cast("double"))).first()[0] or 0.0
+    share = labels.agg(F.avg("quality")).first()[0] or 0.0
     return resampling.gumbel_top_k(weighed, round(share * weighed.count()), F.col("doc_id"))
 
 

@@ -2,8 +2,7 @@
 
 Two generative bag models over hashed word unigrams and bigrams are fitted: one to target text (a
 bounded sample of documents labelled good), one to all raw text. A document's log weight is the sum
-of its n-grams' log probability ratios, tempered by its length so that long texts do not decide alone.
-Gumbel noise drawn from a hash of the id turns the top ``k`` of weight plus noise into a sample without
+of its n-grams' log probability ratios. Gumbel noise drawn from a hash of the id turns the top ``k`` of weight plus noise into a sample without
 replacement in proportion to the weights.
 
 Null and empty texts have no n-grams and weight 0. Rows tied at the last place are all sampled.
@@ -88,8 +87,8 @@ def fit_ratio(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", te
     )
 
 
-def log_weights(docs: DataFrame, ratio: np.ndarray, text: Column, length_power: float = 0.5) -> DataFrame:
-    """``docs`` with ``n_grams`` and ``log_weight``, the summed log ratios over ``n_grams ** length_power``."""
+def log_weights(docs: DataFrame, ratio: np.ndarray, text: Column) -> DataFrame:
+    """``docs`` with ``n_grams`` and ``log_weight``, the sum of their log ratios."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     @F.pandas_udf("n_grams long, log_weight double")
@@ -99,8 +98,7 @@ def log_weights(docs: DataFrame, ratio: np.ndarray, text: Column, length_power:
             grams = gram_buckets(text)
             sizes.append(len(grams))
             sums.append(float(ratio[grams].sum()))
-        sizes = np.array(sizes, np.int64)
-        return pd.DataFrame({"n_grams": sizes, "log_weight": np.array(sums) / np.maximum(sizes, 1) ** length_power})
+        return pd.DataFrame({"n_grams": np.array(sizes, np.int64), "log_weight": np.array(sums, np.float64)})
 
     kept = [c for c in docs.columns if c not in ("n_grams", "log_weight")]
     weighed = docs.select(*kept, weigh(text).alias("__w"))
