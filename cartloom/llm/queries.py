@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, langid, mixing, neardup, resampling, sharding, tokens
+from cartloom.llm import chat, decontam, langid, linefreq, mixing, neardup, pii, resampling, sharding, tokens
 from cartloom.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,29 @@ def op3_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of all documents and the verdict of the line frequencies."""
+    return linefreq.quality_verdict(table(spark, sf_dir, "documents"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All leaks of benchmark items into documents."""
+    return decontam.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "at"
+    )
+
+
+def op6_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents: base spans and those the trained classifier adds."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_private_spans(docs, pii.train(docs))
+    base = F.concat(*pii.KINDS)
+    return found.select(
+        "doc_id", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.concat(base, pii.ADDED)).alias("spans"),
+    )
+
+
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, weighed towards good ones; the sample is as large as the share of quality 1."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -111,6 +134,9 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_lpt_sharding": op3_lpt_sharding,
+    "op4_line_frequency_rules": op4_line_frequency_rules,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_private_spans": op6_private_spans,
     "op7_importance_resampling": op7_importance_resampling,
     "op8_language_id": op8_language_id,
     "op9_pfair_mixing": op9_pfair_mixing,
