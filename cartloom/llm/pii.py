@@ -119,16 +119,16 @@ def candidates(text: Column) -> Column:
         announced = F.exists(F.split(before, "[^a-z]+"), lambda w: w.isin(*GAZETTEER))
         known = token.rlike(PATTERNS["email"]) | token.rlike(PATTERNS["ip"]) | _is_card(token)
         mixed = token.rlike("^[A-Za-z0-9+/=_-]{16,}$") & token.rlike("[A-Za-z]")
-        plain = token.rlike("^[0-9.,+-]+$")
+        plain = ~token.rlike("[A-Za-z]")
         quoted, assigned = last.isin('"', "'"), last.isin("=", ":")
         yes, no, none = F.lit(2), F.lit(1), F.lit(0)
         return F.struct(
             x["start"].alias("start"), x["end"].alias("end"), known.alias("known"),
             F.when(known, yes).when(plain, no).otherwise(none).alias("pattern"),
-            F.when(mixed & (digits >= 4), yes).when(size < 12, no).otherwise(none).alias("shape"),
-            F.when(announced, yes).otherwise(no).alias("gazetteer"),
+            F.when(mixed & (digits >= 4), yes).when(~known & (size < 12), no).otherwise(none).alias("shape"),
+            F.when(announced, yes).otherwise(none).alias("gazetteer"),
             F.when(quoted | assigned, yes).when(next_.isin("%", "$") | last.isin("$", "#"), no).otherwise(none).alias("context"),
-            F.when(plain & (digits < 13), no).when(digits * 4 < size, no).otherwise(none).alias("figure"),
+            F.when(plain & (digits < 13) & ~known, no).when(~known & (digits * 4 < size), no).otherwise(none).alias("figure"),
             F.when(size < 10, 0).when(size < 13, 1).when(size < 17, 2).when(size < 24, 3).when(size < 40, 4).otherwise(5).alias("length"),
             F.least(F.floor(digits * 4 / size), F.lit(4)).cast("int").alias("digits"),
             F.when(plain, 0).when(token.rlike("^[0-9a-f]+$"), 1).when(token.rlike("^[A-Za-z0-9]+$"), 2).otherwise(3).alias("letters"),

@@ -130,6 +130,76 @@ def _op10_sql() -> str:
     """
 
 
+_SPLIT = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _op4_sql() -> str:
+    blanks = "repeat('0', 10) || '    '"
+    return f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row_no, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
+                   {_SPLIT.format("coalesce(text, '')")} AS w
+            FROM documents
+        ), windows AS (
+            SELECT row_no, i, count(*) OVER (PARTITION BY row_no, w[i], w[i + 1], w[i + 2]) AS n
+            FROM (SELECT row_no, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+        ), repeats AS (
+            SELECT row_no, count(DISTINCT i + k) AS n_repeat_words
+            FROM (SELECT row_no, i, unnest([0, 1, 2]) AS k FROM windows WHERE n > 1) GROUP BY row_no
+        ), raw_lines AS (
+            SELECT row_no, count(*) - count(DISTINCT line) AS n_dup_lines
+            FROM (SELECT row_no, unnest(string_split(t, chr(10))) AS line FROM d)
+            WHERE translate(line, {_WHITE}, '') <> '' GROUP BY row_no
+        ), lines AS (
+            SELECT row_no, host, t, trim(line) AS line, length(trim(line)) - length(replace(trim(line), ' ', '')) + 1 AS words
+            FROM (SELECT row_no, host, t, unnest(string_split_regex(regexp_replace(
+                translate(lower(t), '0123456789' || chr(9) || chr(11) || chr(12) || chr(13), {blanks}), ' {{2,}}', ' ', 'g'
+            ), ' ?\n ?')) AS line FROM d) WHERE trim(line) <> ''
+        ), frequent AS (
+            SELECT host, line FROM lines GROUP BY host, line
+            HAVING count(DISTINCT t) > 20
+               AND count(DISTINCT t) > 0.05 * (SELECT count(DISTINCT x.t) FROM d x WHERE x.host = lines.host)
+        ), removed AS (
+            SELECT row_no, sum(words) AS removed_words FROM lines JOIN frequent USING (host, line) GROUP BY row_no
+        ), counted AS (
+            SELECT doc_id, len(w)::BIGINT AS n_words, length(translate(t, {_WHITE}, ''))::BIGINT AS word_chars,
+                   (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+                   coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+                   coalesce(removed_words, 0)::BIGINT AS removed_words
+            FROM d LEFT JOIN repeats USING (row_no) LEFT JOIN raw_lines USING (row_no) LEFT JOIN removed USING (row_no)
+        )
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - removed_words >= 0.3 * n_words AS kept
+        FROM counted
+    """
+
+
+def _op5_sql() -> str:
+    plain = "list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' '), lambda x: x <> '')"
+    grams = "SELECT *, array_to_string(w[p + 1 : p + 5], ' ') AS s FROM (SELECT *, unnest(range(0, greatest(len(w) - 4, 1))) AS p FROM {})"
+    return f"""
+        WITH d AS (SELECT doc_id, {plain} AS w FROM documents), b AS (SELECT item_id, {plain} AS w FROM benchmark),
+        ds AS MATERIALIZED (SELECT doc_id, p, s FROM ({grams.format('d')})),
+        bs AS MATERIALIZED (SELECT item_id, len(w) AS n, p, s FROM ({grams.format('b')})),
+        met AS MATERIALIZED (SELECT DISTINCT doc_id, item_id, n, ds.p - bs.p AS a FROM ds JOIN bs USING (s)),
+        own AS (
+            SELECT doc_id, item_id, a, greatest(a, 0) AS low, least(a + n, len(w)) - 5 AS high, n - 4 AS item_size
+            FROM met JOIN d USING (doc_id)
+        ), counts AS (
+            SELECT own.*, s, count(*) AS times FROM own JOIN ds USING (doc_id) WHERE p BETWEEN low AND high
+            GROUP BY ALL
+        ), item_counts AS (SELECT item_id, s, count(*) AS item_times FROM bs GROUP BY ALL),
+        scored AS (
+            SELECT doc_id, item_id, low, sum(least(times, item_times)) AS c, any_value(high - low + 1 + item_size) AS total
+            FROM counts JOIN item_counts USING (item_id, s) GROUP BY doc_id, item_id, a, low
+        )
+        SELECT doc_id, item_id, round(max(c / (total - c)), 6) AS similarity,
+               arg_min(low, (-c / (total - c), low))::INTEGER AS at
+        FROM scored WHERE c / (total - c) >= 0.8 GROUP BY doc_id, item_id
+    """
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -143,4 +213,9 @@ QUERIES: dict[str, Query] = {
     "op10_chat_formatting": op10_chat_formatting,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_chat_formatting": _op10_sql()}
+# The others fit models, cut with vocabularies, follow links or schedule; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_frequency_rules": _op4_sql(),
+    "op5_benchmark_decontamination": _op5_sql(),
+    "op10_chat_formatting": _op10_sql(),
+}
