@@ -142,8 +142,9 @@ def _op4_sql() -> str:
                    {_SPLIT.format("coalesce(text, '')")} AS w
             FROM documents
         ), windows AS (
-            SELECT row_no, i, count(*) OVER (PARTITION BY row_no, w[i], w[i + 1], w[i + 2]) AS n
-            FROM (SELECT row_no, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+            SELECT row_no, i, count(*) OVER (PARTITION BY row_no, a, b, c) AS n
+            FROM (SELECT row_no, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS a, unnest(w[2:]) AS b, unnest(w[3:]) AS c FROM d)
+            WHERE c IS NOT NULL
         ), repeats AS (
             SELECT row_no, count(DISTINCT i + k) AS n_repeat_words
             FROM (SELECT row_no, i, unnest([0, 1, 2]) AS k FROM windows WHERE n > 1) GROUP BY row_no
