@@ -1,9 +1,9 @@
 """Near duplicates by SimHash, found with pigeonring filtering.
 
-Fingerprints of 64 bits link when at most ``d`` bits differ. The fingerprint is a ring of ``d + 1``
+Fingerprints of 64 bits link when at most ``d`` bits differ. The fingerprint is a ring of ``m > d``
 segments, so some segment starts a chain on which, for every length ``l``, the first ``l`` segments
-together differ in at most ``floor(l * d / (d + 1)) = l - 1`` bits: the first segment is equal, the
-first two differ in at most one bit, and so on up to all of them, the full Hamming check.
+together differ in at most ``floor(l * d / m)`` bits: the first segment is equal, the first two differ
+in at most one bit, and so on up to all of them, the full Hamming check.
 
 Candidates come from chains of two. For each start a fingerprint owns the key of its two segments; if
 its second segment has odd parity it also visits the keys one bit away, as a pair that differs there
@@ -66,12 +66,17 @@ def fingerprint_column(text: Column, shingle: int) -> Column:
 
 
 def segments(distance: int, bits: int = 64) -> list[tuple[int, int]]:
-    """Offset and width of each of the ``distance + 1`` segments."""
-    m = distance + 1
+    """Offset and width of each segment: one more than the distance, three at least."""
+    m = max(3, distance + 1)
     widths = [bits // m + (i < bits % m) for i in range(m)]
     return [(sum(widths[:i]), w) for i, w in enumerate(widths)]
 
 
+def budget(length: int, distance: int) -> int:
+    """Bits in which the first ``length`` segments of a chain may differ."""
+    return length * distance // len(segments(distance))
+
+
 def _ring(start: int, length: int, distance: int) -> int:
     """Mask of ``length`` segments from ``start`` on the ring, as a signed long."""
     parts = segments(distance)
@@ -85,7 +90,7 @@ def _ring(start: int, length: int, distance: int) -> int:
 def chain_keys(fp: str, distance: int) -> Column:
     """Array of (start, key, owner) for a fingerprint: the key it owns per start, and those it visits."""
     parts, starts = segments(distance), []
-    for i in range(distance + 1):
+    for i in range(len(parts)):
         (first, wide), (second, width) = parts[i], parts[(i + 1) % len(parts)]
         head = f"(shiftrightunsigned({fp}, {first}) & {(1 << wide) - 1}L)"
         tail = f"(shiftrightunsigned({fp}, {second}) & {(1 << width) - 1}L)"
@@ -100,17 +105,17 @@ def chain_keys(fp: str, distance: int) -> Column:
 
 def chain_holds(left: str, right: str, bucket: str, distance: int) -> Column:
     """Whether all chains from the bucket's start keep their budgets, the whole ring included."""
-    differ = f"({left} ^ {right})"
+    differ, m = f"({left} ^ {right})", len(segments(distance))
     cases = " ".join(
         f"WHEN {i} THEN " + " AND ".join(
-            f"bit_count({differ} & ({_ring(i, n, distance)}L)) <= {n - 1}" for n in range(2, distance + 1)
+            f"bit_count({differ} & ({_ring(i, n, distance)}L)) <= {budget(n, distance)}" for n in range(2, m)
         )
-        for i in range(distance + 1)
-    ) if distance > 1 else " ".join(f"WHEN {i} THEN true" for i in range(distance + 1))
+        for i in range(m)
+    )
     return F.expr(f"(CASE shiftrightunsigned({bucket}, 58) {cases} END) AND bit_count({differ}) <= {distance}")
 
 
-def block_links(fps: np.ndarray, chain: np.uint64, budget: int, distance: int) -> list[tuple[int, int]]:
+def block_links(fps: np.ndarray, chain: np.uint64, allowed: int, distance: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among the fingerprints of one block or pair of blocks."""
     links: list[tuple[int, int]] = []
     rest = np.unique(fps)
@@ -119,7 +124,7 @@ def block_links(fps: np.ndarray, chain: np.uint64, budget: int, distance: int) -
         while frontier and len(rest):
             at = frontier.pop()
             differ = rest ^ at
-            near = np.bitwise_count(differ & chain) <= budget
+            near = np.bitwise_count(differ & chain) <= allowed
             near[near] = np.bitwise_count(differ[near]) <= distance
             found = rest[near]
             links += [(int(at), int(f)) for f in found]
@@ -129,12 +134,11 @@ def block_links(fps: np.ndarray, chain: np.uint64, budget: int, distance: int) -
 
 
 def _bucket_links(distance: int):
-    length = min(3, distance + 1)
-    chains = [np.uint64(_ring(i, length, distance) & (1 << 64) - 1) for i in range(distance + 1)]
+    chains = [np.uint64(_ring(i, 3, distance) & (1 << 64) - 1) for i in range(len(segments(distance)))]
 
     def flush(names: tuple, parts: list[np.ndarray], out: list[tuple[int, int]]) -> None:
         # A chain that starts at another segment may also hold; the bucket of that start finds those.
-        out += block_links(np.concatenate(parts), chains[names[0] >> 58], length - 1, distance)
+        out += block_links(np.concatenate(parts), chains[names[0] >> 58], budget(3, distance), distance)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name, parts = None, []
