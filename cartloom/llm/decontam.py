@@ -58,19 +58,45 @@ def simhash(hashes: list[Column]) -> Column:
     return out
 
 
-def _blocks(fp: str) -> Column:
+def blocks(fp: Column, kind: Column) -> Column:
+    """Keys of a fingerprint's blocks; ``kind`` (a small number) keeps fingerprints of different widths apart."""
+    head = F.shiftleft(kind.cast("long"), 3 + _BLOCK)
     return F.array(*[
-        F.shiftrightunsigned(fp, _BLOCK * b).bitwiseAND(F.lit((1 << _BLOCK) - 1)) + F.lit(b << _BLOCK) for b in range(RADIUS + 1)
+        head + F.lit(b << _BLOCK) + F.shiftrightunsigned(fp, _BLOCK * b).bitwiseAND(F.lit((1 << _BLOCK) - 1))
+        for b in range(RADIUS + 1)
     ])
 
 
-def _windows(rows: DataFrame, width: int, step: int, *keep: str) -> DataFrame:
-    """Every window's place and fingerprint; ``rows`` has the word hashes ``h``."""
-    count = F.floor((F.size("h") - width) / step).cast("int")
-    places = F.explode(F.sequence(F.lit(0), count)).alias("window")
-    wide = rows.where(F.size("h") >= width).select(*keep, "h", places)
-    hashes = [F.get("h", F.col("window") * step + t) for t in range(width)]
-    return wide.select(*keep, (F.col("window") * step).alias("at"), simhash(hashes).alias("fp"))
+def grid_windows(rows: DataFrame, widths: list[int], *keep: str) -> DataFrame:
+    """Windows of all ``widths``, each at steps of its width, in one pass: ``kind``, place ``at`` and fingerprint.
+
+    ``rows`` has the word hashes ``h``.
+    """
+    counts = [F.floor(F.size("h") / w).cast("int") for w in widths]
+    ends = [reduce(lambda a, b: a + b, counts[: i + 1]) for i in range(len(widths))]
+    number = F.explode(F.sequence(F.lit(0), ends[-1] - 1)).alias("number")
+    wide = rows.where(F.size("h") >= widths[0]).select(*keep, "h", number)
+    kind, at, fp = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("long")
+    for i in reversed(range(len(widths))):
+        here, place = F.col("number") < ends[i], (F.col("number") - (ends[i - 1] if i else F.lit(0))) * widths[i]
+        kind = F.when(here, F.lit(i)).otherwise(kind)
+        at = F.when(here, place).otherwise(at)
+    placed = wide.select(*keep, "h", kind.alias("kind"), at.alias("at"))
+    for i in reversed(range(len(widths))):
+        hashes = [F.get("h", F.col("at") + t) for t in range(widths[i])]
+        fp = F.when(F.col("kind") == i, simhash(hashes)).otherwise(fp)
+    return placed.select(*keep, "kind", "at", fp.alias("fp"))
+
+
+def item_windows(rows: DataFrame, widths: list[int], *keep: str) -> DataFrame:
+    """All windows of each item; ``rows`` has the word hashes ``h`` and the item's ``kind`` of width."""
+    parts = []
+    for i, width in enumerate(widths):
+        own = rows.where((F.col("kind") == i) & (F.size("h") >= width))
+        own = own.select(*keep, "kind", "h", F.explode(F.sequence(F.lit(0), F.size("h") - width)).alias("at"))
+        hashes = [F.get("h", F.col("at") + t) for t in range(width)]
+        parts.append(own.select(*keep, "kind", "at", simhash(hashes).alias("fp")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def shingles(tokens: Column) -> Column:
@@ -103,34 +129,32 @@ def leaked_items(
     total, lengths = named.agg(F.sum(F.size("item")), F.collect_set(F.size("item"))).first()
     widths = sorted({window_width(n, threshold) for n in lengths})
     parts = -(-(total or 0) // part_words)
-    width_of = F.create_map(*[F.lit(x) for n in lengths for x in (n, window_width(n, threshold))]) if lengths else None
-
     words = plain_words(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), words.alias("words"))
     rows = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
     found = []
     for part in range(parts):
+        kind_of = F.create_map(*[F.lit(x) for n in lengths for x in (n, widths.index(window_width(n, threshold)))])
         some = named.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
-        some = some.withColumn("h", F.transform("item", lambda w: F.xxhash64(w)))
-        whole = F.broadcast(some.select("item_id", "item"))
-        for width in widths:
-            own = some.where(width_of[F.size("item")] == width)
-            known = _windows(own, width, 1, "item_id").select(
-                "item_id", F.col("at").alias("offset"), F.col("fp").alias("item_fp"), F.explode(_blocks("fp")).alias("block")
-            )
-            windows = _windows(rows, width, width, "doc_id", "words")
-            probes = windows.select("doc_id", "words", "at", "fp", F.explode(_blocks("fp")).alias("block"))
-            differ = F.col("fp").bitwiseXOR(F.col("item_fp"))
-            first_equal = F.coalesce(*[
-                F.when(differ.bitwiseAND(F.lit(((1 << _BLOCK) - 1) << (_BLOCK * b))) == 0, F.lit(b)) for b in range(RADIUS + 1)
-            ])
-            near = (F.bit_count(differ) <= RADIUS) & (F.shiftrightunsigned("block", _BLOCK) == first_equal)
-            met = probes.join(F.broadcast(known), "block").where(near)
-            begin = F.col("at") - F.col("offset")
-            found.append(met.join(whole, "item_id").select(
-                "doc_id", "item_id", F.greatest(begin, F.lit(0)).alias("at"), "item",
-                F.slice("words", F.greatest(begin, F.lit(0)) + 1, F.size("item") + F.least(begin, F.lit(0))).alias("window"),
-            ))
+        some = some.select("item_id", "item", F.transform("item", lambda w: F.xxhash64(w)).alias("h"), kind_of[F.size("item")].alias("kind"))
+        known = item_windows(some, widths, "item_id").select(
+            "item_id", F.col("at").alias("offset"), F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"), F.col("kind"))).alias("block")
+        )
+        probes = grid_windows(rows, widths, "doc_id", "words").select(
+            "doc_id", "words", "at", "fp", F.explode(blocks(F.col("fp"), F.col("kind"))).alias("block")
+        )
+        differ = F.col("fp").bitwiseXOR(F.col("item_fp"))
+        first_equal = F.coalesce(*[
+            F.when(differ.bitwiseAND(F.lit(((1 << _BLOCK) - 1) << (_BLOCK * b))) == 0, F.lit(b)) for b in range(RADIUS + 1)
+        ])
+        near = (F.bit_count(differ) <= RADIUS) & (F.shiftrightunsigned("block", _BLOCK).bitwiseAND(F.lit(7)) == first_equal)
+        met = probes.join(F.broadcast(known), "block").where(near)
+        begin = F.col("at") - F.col("offset")
+        whole = F.broadcast(some.select(F.col("item_id").alias("whole_id"), "item"))
+        found.append(met.join(whole, F.col("item_id").eqNullSafe(F.col("whole_id"))).select(
+            "doc_id", "item_id", F.greatest(begin, F.lit(0)).alias("at"), "item",
+            F.slice("words", F.greatest(begin, F.lit(0)) + 1, F.size("item") + F.least(begin, F.lit(0))).alias("window"),
+        ))
     if not found:
         none = F.lit(None).cast(named.schema["item_id"].dataType).alias("item_id")
         return rows.limit(0).select("doc_id", none, F.lit(0.0).alias("similarity"), F.lit(0).alias("at"))
