@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.llm.common import WHITE, WHITE_RUN, bind, text_key, text_or_empty, words
+from cartloom.session import written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED = 50, 50
@@ -75,9 +76,9 @@ def quality_verdict(
     """Per row: id, the base counts, ``base_failed``, ``removed_words`` and ``kept``."""
     text = F.col(text_col)
     named = [F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.coalesce(text_key(text), F.lit(b"")).alias("key")]
-    lines = (
+    lines = written(  # read twice, made once
         docs.select(*named, F.explode(normalised_lines(text)).alias("x"))
-        .groupBy("host", "key", F.col("x.line").alias("line")).agg(F.sum("x.words").alias("words"))
+        .groupBy("host", "key", F.col("x.line").alias("line")).agg(F.sum("x.words").alias("words")), "lines"
     )
     copies = docs.select(*named).groupBy("host", "key").agg(F.count("*").alias("copies"))
     hosts = copies.groupBy("host").agg(F.count("*").alias("host_docs"))
