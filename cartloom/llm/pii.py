@@ -219,19 +219,20 @@ def mask(docs: DataFrame, model: SpanModel, id_col: str = "doc_id", text_col: st
     """``doc_id`` and ``text`` with every span replaced by its kind in brackets; of overlapping spans the
     first (of those the longest) is replaced.
     """
-    found = find_private_spans(docs.select(F.struct(id_col, text_col).alias("row"), text_col), model, "row", text_col)
-    spans = F.sort_array(F.transform(F.concat(*KINDS, ADDED), lambda x: F.struct(x["start"], -x["end"], x["kind"])))
+    whole = F.struct(F.col(id_col).alias("id"), F.col(text_col).alias("text")).alias("row")
+    found = find_private_spans(docs.select(whole, F.col(text_col).alias("text")), model, "row").withColumnRenamed("doc_id", "row")
+    spans = F.sort_array(F.transform(F.concat(*KINDS, ADDED), lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("longest"), x["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    text = text_or_empty(F.col(f"doc_id.{text_col}"))
+    text = text_or_empty(F.col("row.text"))
 
     def put(state: Column, x: Column) -> Column:
-        skip = x["col1"] < state["at"]
+        skip = x["start"] < state["at"]
         return F.struct(
-            F.when(skip, state["at"]).otherwise(-x["col2"]).alias("at"),
+            F.when(skip, state["at"]).otherwise(-x["longest"]).alias("at"),
             F.when(skip, state["out"]).otherwise(F.concat(
-                state["out"], F.substring(text, state["at"] + 1, x["col1"] - state["at"]), F.lit("["), x["col3"], F.lit("]")
+                state["out"], F.substring(text, state["at"] + 1, x["start"] - state["at"]), F.lit("["), x["kind"], F.lit("]")
             )).alias("out"),
         )
 
     masked = F.aggregate(spans, start, put, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return found.select(F.col(f"doc_id.{id_col}").alias(id_col), masked.alias(text_col))
+    return found.select(F.col("row.id").alias(id_col), masked.alias(text_col))
