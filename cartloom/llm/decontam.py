@@ -74,28 +74,30 @@ def grid_windows(rows: DataFrame, widths: list[int], *keep: str) -> DataFrame:
     """
     counts = [F.floor(F.size("h") / w).cast("int") for w in widths]
     ends = [reduce(lambda a, b: a + b, counts[: i + 1]) for i in range(len(widths))]
-    number = F.explode(F.sequence(F.lit(0), ends[-1] - 1)).alias("number")
-    wide = rows.where(F.size("h") >= widths[0]).select(*keep, "h", number)
-    kind, at, fp = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("long")
+    # No filter on the number of words and no null: either would compute words or fingerprints twice.
+    number = F.explode(F.when(ends[-1] > 0, F.sequence(F.lit(0), ends[-1] - 1))).alias("number")
+    kind, at, fp = F.lit(0), F.lit(0), F.lit(0).cast("long")
     for i in reversed(range(len(widths))):
         here, place = F.col("number") < ends[i], (F.col("number") - (ends[i - 1] if i else F.lit(0))) * widths[i]
         kind = F.when(here, F.lit(i)).otherwise(kind)
         at = F.when(here, place).otherwise(at)
-    placed = wide.select(*keep, "h", kind.alias("kind"), at.alias("at"))
+    placed = rows.select(*keep, "h", number).select(*keep, "h", kind.alias("kind"), at.alias("at"))
     for i in reversed(range(len(widths))):
-        hashes = [F.get("h", F.col("at") + t) for t in range(widths[i])]
-        fp = F.when(F.col("kind") == i, simhash(hashes)).otherwise(fp)
+        fp = F.when(F.col("kind") == i, simhash(_hashes(widths[i]))).otherwise(fp)
     return placed.select(*keep, "kind", "at", fp.alias("fp"))
 
 
+def _hashes(width: int) -> list[Column]:
+    return [F.coalesce(F.get("h", F.col("at") + t), F.lit(0).cast("long")) for t in range(width)]
+
+
 def item_windows(rows: DataFrame, widths: list[int], *keep: str) -> DataFrame:
     """All windows of each item; ``rows`` has the word hashes ``h`` and the item's ``kind`` of width."""
     parts = []
     for i, width in enumerate(widths):
         own = rows.where((F.col("kind") == i) & (F.size("h") >= width))
         own = own.select(*keep, "kind", "h", F.explode(F.sequence(F.lit(0), F.size("h") - width)).alias("at"))
-        hashes = [F.get("h", F.col("at") + t) for t in range(width)]
-        parts.append(own.select(*keep, "kind", "at", simhash(hashes).alias("fp")))
+        parts.append(own.select(*keep, "kind", "at", simhash(_hashes(width)).alias("fp")))
     return reduce(DataFrame.unionByName, parts)
 
 
