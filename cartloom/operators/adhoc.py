@@ -4,21 +4,29 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import threading
+import uuid
+from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
-from cartloom.domains import FORBIDDEN_WORDS, MAX_ROWS, NON_SALES_STATUSES, PREVIEW_ROWS
+from cartloom.domains import FORBIDDEN_WORDS, NON_SALES_STATUSES
 from cartloom.functions import last_complete_month, ratio_percent
 
 _FORBIDDEN = re.compile(rf"\b(?:{'|'.join(FORBIDDEN_WORDS)})\b", re.IGNORECASE)
-_LIMIT = re.compile(r"\bLIMIT\b", re.IGNORECASE)
+_JVM_CALL = re.compile(r"\b(?:reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
+_RELATION = re.compile(r"'UnresolvedRelation \[([^\]]*)\]")
 
 
 class ReadOnlyError(ValueError):
-    """The text is not a plain SELECT."""
+    """The text is not a plain SELECT on allowed views."""
+
+
+class QueryTimeout(RuntimeError):
+    """The result was not complete within the given time."""
 
 
 def check_read_only(text: str) -> None:
@@ -30,29 +38,79 @@ def check_read_only(text: str) -> None:
         raise ReadOnlyError("the statement contains a forbidden word")
 
 
+def check_sources(spark: SparkSession, text: str, views: Iterable[str]) -> None:
+    """Refuse parsed texts that read anything but ``views`` or call JVM methods.
+
+    The parsed plan, with its subqueries, names every relation before anything is looked up: files
+    (``text.`/path```), other tables and table functions never reach the analyzer.
+    """
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    allowed = {v.lower() for v in views}
+    for name in _RELATION.findall(plan):
+        if name.strip().lower() not in allowed:
+            raise ReadOnlyError(f"not an allowed view: {name}")
+    if "UnresolvedTableValuedFunction" in plan or "UnresolvedTVF" in plan:
+        raise ReadOnlyError("table functions are not allowed")
+    if _JVM_CALL.search(plan) or _JVM_CALL.search(text):
+        raise ReadOnlyError("calls of JVM methods are not allowed")
+
+
 def read_only_sql(
-    spark: SparkSession, text: str, args: dict[str, Any] | None = None, max_rows: int = MAX_ROWS
+    spark: SparkSession, text: str, args: dict[str, Any] | None = None, max_rows: int | None = None,
+    views: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Run a SELECT; a text without a LIMIT of its own gives at most ``max_rows`` rows.
+    """Run a SELECT over ``views`` (default: the session's temporary views).
 
-    ``args`` bind named parameters (``:name``) as values, never as text.
+    ``args`` bind named parameters (``:name``) as values, never as text. The result is whole unless
+    the caller bounds it by ``max_rows``.
     """
     check_read_only(text)
+    if views is None:
+        views = [t.name for t in spark.catalog.listTables() if t.isTemporary]
+    check_sources(spark, text, views)
     result = spark.sql(text, args=args)
-    return result if _LIMIT.search(text) else result.limit(max_rows)
-
-
-def preview(result: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
-    """The first rows with fractions rounded to two decimals."""
+    return result if max_rows is None else result.limit(max_rows)
+
+
+def fetch_within(result: DataFrame, seconds: float) -> list[Row]:
+    """All rows of a result, or :class:`QueryTimeout`: never fewer rows."""
+    context = result.sparkSession.sparkContext
+    group, late = f"ad-hoc-{uuid.uuid4().hex}", threading.Event()
+
+    def cancel() -> None:
+        late.set()
+        context.cancelJobGroup(group)
+
+    timer = threading.Timer(seconds, cancel)
+    context.setJobGroup(group, "ad-hoc query", interruptOnCancel=True)
+    timer.start()
+    try:
+        rows = result.collect()
+    except Exception as error:
+        if late.is_set():
+            raise QueryTimeout(f"no complete result within {seconds} seconds") from error
+        raise
+    finally:
+        timer.cancel()
+        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            context.setLocalProperty(name, None)
+    if late.is_set():
+        raise QueryTimeout(f"no complete result within {seconds} seconds")
+    return rows
+
+
+def preview(result: DataFrame, rows: int | None = None) -> DataFrame:
+    """All rows, or the first ``rows``, with fractions rounded to two decimals."""
     fractional = (DecimalType, DoubleType, FloatType)
-    return result.select(*[
+    shown = result.select(*[
         F.round(f.name, 2).alias(f.name) if isinstance(f.dataType, fractional) else F.col(f.name)
         for f in result.schema
-    ]).limit(rows)
+    ])
+    return shown if rows is None else shown.limit(rows)
 
 
-def preview_text(result: DataFrame, rows: int = PREVIEW_ROWS) -> str:
-    """The preview as a text table with the true row count. Fetches ``rows`` rows at most."""
+def preview_text(result: DataFrame, rows: int) -> str:
+    """The first ``rows`` rows as a text table with the true row count beside them."""
     count = result.count()
     if not count:
         return "Query returned no results."
