@@ -10,10 +10,13 @@ from __future__ import annotations
 from decimal import Decimal
 
 # The fifty state codes that count as valid (no DC, no territories).
-STATES = (
-    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO "
-    "MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY"
-).split()
+STATES = [
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA",
+    "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD",
+    "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ",
+    "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC",
+    "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
+]
 
 # Product spellings. The fragments are looked up in the product key
 # (lower case, without blanks and hyphens); the first rule with a hit names the product.
@@ -88,12 +91,11 @@ WARNING_BELOW = 10
 SUBJECT_FILTER = "[E-Com] Daily Sales Export"
 SUBJECT_PATTERN = r"^\[E-Com\] Daily Sales Export\s*[–-]\s*\d{4}-\d{2}-\d{2}$"
 FILE_PATTERN = r"^e_com_sales_\d{8}\.csv$"
-RECENT_MESSAGES = 20
+SUBJECT_DAY = r"(\d{4}-\d{2}-\d{2})$"
+FILE_DAY = r"e_com_sales_(\d{8})\.csv$"
 
-# Ad-hoc limits and the words a read-only text may not contain.
-MAX_ROWS = 500
-PREVIEW_ROWS = 50
-FORBIDDEN_WORDS = "INSERT UPDATE DELETE DROP CREATE ALTER TRUNCATE MERGE CALL".split()
+# The words a read-only text may not contain.
+FORBIDDEN_WORDS = ["INSERT", "UPDATE", "DELETE", "DROP", "CREATE", "ALTER", "TRUNCATE", "MERGE", "CALL"]
 
 # Id, severity, name and description of each data-quality check.
 CHECKS = [

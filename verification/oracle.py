@@ -317,7 +317,7 @@ def messages_cte() -> str:
   FROM events
 ),
 recent AS (
-  SELECT * FROM (SELECT * FROM messages WHERE contains(lower(subject), {lit(D.SUBJECT_FILTER.lower())}) ORDER BY seq DESC LIMIT {D.RECENT_MESSAGES})
+  SELECT * FROM (SELECT * FROM messages WHERE contains(lower(subject), {lit(D.SUBJECT_FILTER.lower())}))
   WHERE regexp_matches(subject, {lit(D.SUBJECT_PATTERN)})
 )"""
 
@@ -366,7 +366,31 @@ def oracle_statements() -> dict[str, str]:
         return (f"SELECT {', '.join(SOURCE_COLUMNS)}, '{landed_at}' AS _ingested_at, _source_filename, "
                 f"{date_text('_pipeline_run_date')} AS _pipeline_run_date{email} FROM raw")
 
+    # Whole billionths in 128 bit integers, from the keys: no decimal type and no text is involved.
+    exact, off = "((q - discounted) * a * ten * 1000000000::HUGEINT + q * f)", "abs(stated - expected) > 20000000"
+
+    def text_of(c: str, digits: int) -> str:
+        unit = f"{10 ** digits}::HUGEINT"
+        return f"(CASE WHEN {c} < 0 THEN '-' ELSE '' END || abs({c}) // {unit} || '.' || lpad((abs({c}) % {unit})::VARCHAR, {digits}, '0'))"
+
+    cents = "(CASE WHEN {0} < 0 THEN -1 ELSE 1 END * ((abs({0}) + 5000000) // 10000000))"
+    large = f"""WITH keys AS (
+          SELECT l_orderkey, l_linenumber, l_orderkey * 7 + l_linenumber * 13 + l_partkey AS k, l_quantity::BIGINT::HUGEINT AS q,
+                 (l_orderkey * 100 + l_partkey % 97 + 1)::HUGEINT AS a FROM lineitem
+        ), parts AS (
+          SELECT *, ('1' || repeat('0', (k % 12 + 6)::INT))::HUGEINT AS ten, (k * 7919 % 1000000000)::HUGEINT AS f,
+                 (k % 4 = 0)::INT AS discounted FROM keys
+        ), priced AS (
+          SELECT *, a * ten * 1000000000::HUGEINT + f AS price, {exact} AS expected FROM parts
+        ), given AS (
+          SELECT *, CASE k % 5 WHEN 0 THEN expected WHEN 1 THEN expected + 20000000 WHEN 2 THEN expected + 20000001
+                    WHEN 4 THEN -price END AS stated FROM priced
+        ), kept AS (SELECT *, CASE WHEN {off} OR stated IS NULL THEN expected ELSE stated END AS r FROM given)
+        SELECT l_orderkey, l_linenumber, q::BIGINT AS quantity, {text_of('price', 9)} AS unit_price,
+               {text_of(cents.format('r'), 2)} AS revenue, {off} AS _revenue_was_corrected FROM kept"""
+
     statements = {
+        "large_amounts": large,
         "raw_orders": over("", f"SELECT {raw_shown()} FROM raw"),
         "current_batch": over(batch_cte(), f"SELECT {raw_shown()} FROM batch"),
         "latest_run": over("", f"SELECT {raw_shown()} FROM raw WHERE _pipeline_run_date = (SELECT max(_pipeline_run_date) FROM raw)"),
@@ -474,6 +498,6 @@ def oracle_statements() -> dict[str, str]:
         "result_preview": over_mart(f"""SELECT {date_text('order_date')} AS order_date, CAST(revenue AS DOUBLE) AS revenue,
               round(units / 7.0, 2) AS units_per_store
             FROM (SELECT order_date, sum(total_revenue) AS revenue, CAST(sum(total_units_sold) AS DOUBLE) AS units FROM mart GROUP BY order_date)
-            ORDER BY revenue DESC, order_date LIMIT {D.PREVIEW_ROWS}"""),
+            ORDER BY revenue DESC, order_date """),
     }
     return statements
