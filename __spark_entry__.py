@@ -125,6 +125,15 @@ def q_revenue_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(corrected)
 
 
+def q_large_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue correction of amounts of up to 28 digits, shown as text so that every digit counts."""
+    corrected = staging.correct_revenue(B.large_amounts(spark, sf_dir))
+    return corrected.select(
+        "l_orderkey", "l_linenumber", "quantity", F.col("unit_price").cast("string").alias("unit_price"),
+        F.col("revenue").cast("string").alias("revenue"), "_revenue_was_corrected",
+    )
+
+
 def q_customer_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_table(spark, sf_dir).groupBy("customer_id", "customer_name", "customer_email", "customer_city", "customer_state")
     rows = raw.agg(F.count("*").alias("row_count"))
@@ -294,6 +303,7 @@ def queries() -> dict[str, Query]:
         "canonical_status": lambda s, d: _mapping(
             raw_table(s, d), "shipping_status", lambda c: canonical.canonical_status(ws_trim(c))),
         "revenue_correction": q_revenue_correction,
+        "large_amounts": q_large_amounts,
         "typed_orders": q_typed_orders,
         "orders_cleaned": lambda s, d: _plain(_cleaned(s, d)),
         "orders_rejected": lambda s, d: _plain(reject_orders(raw_table(s, d), day, B.REJECTED_AT)),

@@ -139,6 +139,39 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.select(*[columns[c].alias(c) for c in RAW_COLUMNS])
 
 
+def large_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order amounts of up to 28 digits before the point, built as text from ``lineitem``.
+
+    The price is ``a`` with zeros behind it and nine decimals. The stated revenue is the exact one, off
+    by the tolerance or a billionth more, far off, negative or missing.
+    """
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    order, number, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    k = order * 7 + number * 13 + part
+    rows = line.select(
+        order, number, k.alias("k"), F.col("l_quantity").cast("bigint").alias("q"),
+        (order * 100 + part % 97 + 1).alias("a"), (k % 12 + 6).cast("int").alias("z"), (k * 7919 % 1000000000).alias("f"),
+    )
+    rows = rows.withColumns({
+        "zeros": F.repeat(F.lit("0"), F.col("z")),
+        "discounted": (F.col("k") % 4 == 0).cast("bigint"),
+        "shift": F.when(F.col("k") % 5 == 1, 20000000).when(F.col("k") % 5 == 2, 20000001).otherwise(0),
+    })
+    billionths = F.col("q") * F.col("f") + F.col("shift")
+    multiple = (F.col("q") - F.col("discounted")) * F.col("a")
+    carry = F.expr("(q * f + shift) div 1000000000")
+    whole = F.when(multiple == 0, carry.cast("string")).otherwise(
+        F.concat(multiple.cast("string"), F.expr("lpad(cast((q * f + shift) div 1000000000 AS string), z, '0')"))
+    )
+    exact = F.concat(whole, F.lit("."), F.lpad((billionths % 1000000000).cast("string"), 9, "0"))
+    price = F.concat(F.col("a").cast("string"), F.col("zeros"), F.lit("."), F.lpad(F.col("f").cast("string"), 9, "0"))
+    return rows.select(
+        "l_orderkey", "l_linenumber", F.col("q").cast("string").alias("quantity"), price.alias("unit_price"),
+        F.when(F.col("discounted") == 1, F.concat(F.col("a").cast("string"), F.col("zeros"))).otherwise("").alias("discount_amount"),
+        F.when(F.col("k") % 5 == 3, "n/a").when(F.col("k") % 5 == 4, F.concat(F.lit("-"), price)).otherwise(exact).alias("revenue"),
+    )
+
+
 def landing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message list: one message per event, in arrival order of ``event_id``."""
     event = spark.read.parquet(f"{sf_dir}/events.parquet")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartloom.domains import REVENUE_TOLERANCE, STATES
 from cartloom.functions import magnitude, null_if_empty, safe_date, safe_int, safe_num, title_words, ws_trim
+from cartloom.functions.numbers import cents, expected_parts, further_than, same_sign
 from cartloom.operators.batch import current_batch, dedup_latest, has_order_id
 from cartloom.operators.canonical import (
     canonical_category,
@@ -17,7 +18,7 @@ from cartloom.operators.canonical import (
     canonical_store,
     product_key,
 )
-from cartloom.schemas import AMOUNT, CLEANED_SCHEMA, FACTOR
+from cartloom.schemas import AMOUNT, CLEANED_SCHEMA, CORRECTED
 
 
 def customer_columns() -> dict[str, Column]:
@@ -40,29 +41,34 @@ def parsed_amounts() -> dict[str, Column]:
 
 
 def checked_revenue() -> dict[str, Column]:
-    """Revenue and correction flag from parsed amounts: qty × price − discount is expected.
+    """Revenue from the parts of :func:`with_expected`: quantity × price − discount is expected.
 
     A stated revenue within the tolerance is kept, any other (also none at all) recomputed.
     The flag stays NULL when there was no readable revenue to compare with.
     """
-    expected = F.col("quantity").try_cast(FACTOR) * F.col("unit_price") - F.col("discount_amount")
-    gap = F.abs(F.col("_stated") - expected)
-    return {
-        "revenue": F.when(gap <= REVENUE_TOLERANCE, F.round("_stated", 2)).otherwise(F.round(expected, 2)),
-        "_revenue_was_corrected": gap > REVENUE_TOLERANCE,
-    }
+    off = F.col("_revenue_was_corrected")
+    return {"revenue": F.when(~off, F.round("_stated", 2).cast(CORRECTED)).otherwise(cents(F.col("_whole"), F.col("_rest")))}
+
+
+def with_expected(rows: DataFrame) -> DataFrame:
+    """Expected revenue of parsed amounts, in parts of one sign, and the flag. An overflow is an error."""
+    parts = expected_parts(F.col("quantity"), F.col("unit_price"), F.col("discount_amount"))
+    expected = rows.withColumns(parts).withColumns(same_sign(F.col("_whole"), F.col("_rest")))
+    off = further_than(F.col("_stated"), F.col("_whole"), F.col("_rest"), F.lit(REVENUE_TOLERANCE))
+    return expected.withColumn("_revenue_was_corrected", off)
 
 
 def correct_revenue(rows: DataFrame) -> DataFrame:
     """Typed quantity, price, discount and checked revenue in place of the raw texts."""
-    return rows.withColumns(parsed_amounts()).withColumns(checked_revenue()).drop("_stated")
+    parsed = with_expected(rows.withColumns(parsed_amounts()))
+    return parsed.withColumns(checked_revenue()).drop("_stated", "_whole", "_rest")
 
 
 def type_orders(rows: DataFrame) -> DataFrame:
     """All per-column rules on deduplicated raw rows; row count is unchanged.
 
-    Two projections: the first prepares what the rules of the second read many times, so Spark
-    keeps them apart and computes each key, text and amount once.
+    Projections prepare what later rules read many times, so Spark keeps them apart and computes
+    each key, text and amount once.
     """
     prepared = rows.withColumns({
         **parsed_amounts(),
@@ -71,7 +77,7 @@ def type_orders(rows: DataFrame) -> DataFrame:
         "product_category": ws_trim(F.col("product_category")),
         "shipping_status": ws_trim(F.col("shipping_status")),
     })
-    typed = prepared.withColumns({
+    typed = with_expected(prepared).withColumns({
         **customer_columns(),
         **checked_revenue(),
         "order_id": ws_trim(F.col("order_id")),
@@ -88,14 +94,17 @@ def type_orders(rows: DataFrame) -> DataFrame:
 
 def valid_orders(orders: DataFrame, as_of: dt.date) -> DataFrame:
     """Orders fit for reporting; a NULL in any tested column drops the row."""
-    return orders.where(
+    rows = orders.where(
         F.col("order_date").isNotNull()
         & (F.col("order_date") <= F.lit(as_of))
         & (F.col("quantity") > 0)
         & (F.col("unit_price") > 0)
-        & (F.col("revenue") > 0)
         & F.col("customer_state").isin(STATES)
     )
+    # A filter on the revenue would be moved below its projections and compute all of them again;
+    # a generator that gives one row or none stays where it is.
+    once = F.explode(F.when(F.col("revenue") > 0, F.array(F.lit(1)))).alias("_once")
+    return rows.select(*orders.columns, once).drop("_once")
 
 
 def clean_orders(raw: DataFrame, as_of: dt.date, trim_key: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The seventeen text columns of a landing file, in table order.
+# The seventeen text columns of a landing file, in table order.
 SOURCE_COLUMNS = [
     "order_id", "order_date", "customer_id", "customer_name", "customer_email",
     "customer_city", "customer_state", "product_name", "product_category", "quantity",
@@ -14,10 +14,8 @@ SOURCE_COLUMNS = [
 METADATA_COLUMNS = ["_ingested_at", "_source_filename", "_pipeline_run_date", "_email_received_date"]
 RAW_COLUMNS = SOURCE_COLUMNS + METADATA_COLUMNS
 
-# Amounts keep nine decimals. With quantities as DECIMAL(16,0), qty × price − discount and
-# its distance to the revenue fit DECIMAL(38,9), so no digit is lost to precision rules.
-AMOUNT = T.DecimalType(19, 9)
-FACTOR = T.DecimalType(16, 0)
+# Amounts have 29 digits before the point and nine after it.
+AMOUNT = T.DecimalType(38, 9)
 CORRECTED = T.DecimalType(31, 2)
 
 
