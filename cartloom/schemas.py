@@ -31,6 +31,15 @@ RAW_SCHEMA = _struct(
     ("_email_received_date", T.StringType()),
 )
 
+# What happened to each file: started, loaded, empty or bad_date.
+LOADS_SCHEMA = _struct(
+    ("_source_filename", T.StringType()),
+    ("_pipeline_run_date", T.DateType()),
+    ("_ingested_at", T.TimestampType()),
+    ("rows", T.LongType()),
+    ("status", T.StringType()),
+)
+
 CLEANED_SCHEMA = _struct(
     ("order_id", T.StringType()),
     ("order_date", T.DateType()),

@@ -15,6 +15,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def replace(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished table ``new`` in the place of ``path``.
+
+    Two renames; a crash between them leaves the old table beside the place, and the next run writes
+    and switches again.
+    """
+    system, place = _locate(spark, path)
+    _, ready = _locate(spark, new)
+    _, old = _locate(spark, f"{path}__old")
+    system.delete(old, True)
+    if system.exists(place):
+        system.rename(place, old)
+    if not system.rename(ready, place):
+        raise OSError(f"{new} could not be moved to {path}")
+    system.delete(old, True)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, place = _locate(spark, path)
     system.delete(place, True)

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cartloom.schemas import CLEANED_SCHEMA, MART_PARTITIONS, MART_SCHEMA, RAW_SCHEMA, REJECTED_SCHEMA
+from cartloom.schemas import (
+    CLEANED_SCHEMA, LOADS_SCHEMA, MART_PARTITIONS, MART_SCHEMA, RAW_SCHEMA, REJECTED_SCHEMA,
+)
 from cartloom.sources.files import exists
 
+STARTED, LOADED, EMPTY, BAD_DATE = "started", "loaded", "empty", "bad_date"
+
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table in declared column order. A table not written yet has no rows;
@@ -45,6 +51,48 @@ def append_raw(rows: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
+def loads_path(raw_path: str) -> str:
+    """Where the loads of a raw table are recorded, beside it."""
+    return f"{raw_path.rstrip('/')}_loads"
+
+
+def record_loads(spark: SparkSession, raw_path: str, loads: list[tuple]) -> None:
+    """Append to the small table of loads: file, run date, instant, rows, status."""
+    if loads:
+        spark.createDataFrame(loads, LOADS_SCHEMA).coalesce(1).write.mode("append").parquet(loads_path(raw_path))
+
+
+def read_loads(spark: SparkSession, raw_path: str) -> DataFrame:
+    """The recorded loads. A raw table from before they were kept is summed up once."""
+    path = loads_path(raw_path)
+    if not exists(spark, path) and exists(spark, raw_path):
+        keys = ["_source_filename", "_pipeline_run_date", "_ingested_at"]
+        loads = read_raw(spark, raw_path).groupBy(*keys).agg(F.count("*").alias("rows"))
+        loads.withColumn("status", F.lit(LOADED)).coalesce(1).write.parquet(path)
+    return read_table(spark, path, LOADS_SCHEMA)
+
+
+def history_months(rows: DataFrame) -> DataFrame:
+    day = F.col("order_date")
+    return rows.withColumns({"order_year": F.year(day).cast("bigint"), "order_month": F.month(day).cast("bigint")})
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """Cleaned orders of all batches, stored by order month (``order_year``, ``order_month`` come last)."""
+    schema = StructType([*CLEANED_SCHEMA.fields])
+    for name in MART_PARTITIONS:
+        schema = schema.add(MART_SCHEMA[name])
+    return read_table(spark, path, schema)
+
+
+def replace_history_months(orders: DataFrame, path: str) -> None:
+    """Replace the months that ``orders`` has rows of; the table is stored by month, sorted by id."""
+    (
+        history_months(orders).repartitionByRange(*MART_PARTITIONS, "order_id").sortWithinPartitions(*MART_PARTITIONS, "order_id")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*MART_PARTITIONS).parquet(path)
+    )
+
+
 def overwrite_table(rows: DataFrame, path: str) -> None:
     """Replace a staging table as a whole."""
     rows.write.mode("overwrite").parquet(path)
@@ -75,6 +123,9 @@ def replace_mart_months(mart: DataFrame, path: str) -> None:
     )
 
 
-def append_dq_results(results: DataFrame, path: str) -> None:
-    """Keep the check results of every run."""
-    results.write.mode("append").parquet(path)
+def keep_results(results: DataFrame, path: str, run: dt.date) -> None:
+    """Keep the results of every run, by its day: a repeated run replaces its own."""
+    (
+        results.withColumn("_run", F.lit(run)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("_run").parquet(path)
+    )

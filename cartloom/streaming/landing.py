@@ -22,12 +22,19 @@ _FILES = "path string, modificationTime timestamp, length bigint, content binary
 
 
 def new_exports(files: DataFrame) -> DataFrame:
-    """One message per export among ``files`` (path, modificationTime), dated by its name."""
-    name = F.regexp_extract("path", r"([^/]+\.csv)(/[^/]*)?$", 1)
+    """One message per export among ``files`` (path, modificationTime) with its path, dated by its name.
+
+    An export is a file of the expected name, or a folder of that name with part files.
+    """
+    last = F.regexp_extract("path", "([^/]+)$", 1)
+    above = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
+    folder = F.regexp_extract(above, "([^/]+)$", 1)
+    found = F.when(folder.rlike(FILE_PATTERN), F.struct(folder.alias("filename"), above.alias("path"))).when(
+        last.rlike(FILE_PATTERN), F.struct(last.alias("filename"), F.col("path").alias("path"))
+    )
     return (
-        files.select(name.alias("filename"), "modificationTime")
-        .where(F.col("filename").rlike(FILE_PATTERN))
-        .groupBy("filename")
+        files.select(found.alias("found"), "modificationTime").where("found IS NOT NULL")
+        .groupBy("found.filename", "found.path")
         .agg(F.min("modificationTime").alias("received_at"))
         .withColumn("run_date", filename_day(F.col("filename")))
     )
@@ -43,7 +50,8 @@ def stream_landing(
 ) -> StreamingQuery:
     """Land everything that is in ``folder`` now and stop; run it again for later arrivals.
 
-    Exports must appear whole, as a rename into the folder does. File contents are not read
+    Exports may lie in sub-folders. Empty ones and impossible dates are kept by name in the table of
+    loads and do not stop the stream, however files fall into micro-batches. Exports must appear whole, as a rename into the folder does. File contents are not read
     by the stream itself, as only path and time are selected.
     """
     files = (
@@ -57,7 +65,7 @@ def stream_landing(
     )
 
     def land(batch: DataFrame, _: int) -> None:
-        land_exports(batch.sparkSession, new_exports(batch), folder, raw_path, clock())
+        land_exports(batch.sparkSession, new_exports(batch), folder, raw_path, clock(), skip_bad=True)
 
     return (
         files.writeStream.foreachBatch(land)
