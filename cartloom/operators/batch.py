@@ -22,15 +22,24 @@ def current_batch(raw: DataFrame, as_of: dt.date, run_dates: list[dt.date] | Non
         (F.col("_ingested_at") >= F.lit(utc_instant(as_of)))
         & (F.col("_ingested_at") < F.lit(utc_instant(as_of + dt.timedelta(days=1))))
     )
-    return rows.where(F.col("_pipeline_run_date").isin(run_dates)) if run_dates else rows
+    return rows if run_dates is None else rows.where(F.col("_pipeline_run_date").isin(run_dates))
 
 
-def latest_run(raw: DataFrame) -> DataFrame:
+def run_dates_of(loads: DataFrame, as_of: dt.date) -> list[dt.date]:
+    """Run dates of the files loaded on the UTC day ``as_of``, by the table of loads: a few values."""
+    today = (F.col("_ingested_at") >= F.lit(utc_instant(as_of))) & (F.col("_ingested_at") < F.lit(utc_instant(as_of + dt.timedelta(days=1))))
+    rows = loads.where(today & (F.col("status") == "loaded")).select("_pipeline_run_date").distinct().collect()
+    return sorted(r[0] for r in rows)
+
+
+def latest_run(raw: DataFrame, loads: DataFrame | None = None) -> DataFrame:
     """Rows of the highest run date.
 
-    The scalar subquery runs first and prunes the partitions of a table stored by run date.
+    The scalar subquery runs first and prunes the partitions of a table stored by run date. With the
+    table of loads it reads that instead of all of raw.
     """
-    newest = raw.agg(F.max("_pipeline_run_date")).scalar()
+    source = raw if loads is None else loads.where("status = 'loaded'")
+    newest = source.agg(F.max("_pipeline_run_date")).scalar()
     return raw.where(F.col("_pipeline_run_date") == newest)
 
 

@@ -107,13 +107,15 @@ def valid_orders(orders: DataFrame, as_of: dt.date) -> DataFrame:
     return rows.select(*orders.columns, once).drop("_once")
 
 
-def clean_orders(raw: DataFrame, as_of: dt.date, trim_key: bool = False) -> DataFrame:
+def clean_orders(
+    raw: DataFrame, as_of: dt.date, trim_key: bool = False, run_dates: list[dt.date] | None = None
+) -> DataFrame:
     """The cleaned table of the batch ingested on ``as_of``.
 
     Orders are told apart by the id as it came, so ``A1`` and `` A1`` both stay and look
     alike afterwards; ``trim_key`` treats them as one order instead.
     """
-    rows = has_order_id(current_batch(raw, as_of))
+    rows = has_order_id(current_batch(raw, as_of, run_dates))
     if trim_key:
         rows = rows.withColumn("_key", ws_trim(F.col("order_id")))
         rows = dedup_latest(rows, "_key").drop("_key")
