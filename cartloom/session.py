@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,11 +64,28 @@ def spread(table: DataFrame) -> DataFrame:
     return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
+_TUNING = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Settings the jobs gain from on any session.
+    """Set a session up for these jobs, for good: for the owner of the session only.
 
     The JVM does not compile methods above 8000 bytes of code. Below that limit Spark gives up
     whole-stage code for such a plan and uses split-up, compiled expressions instead.
     """
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set(*_TUNING)
     return spark
+
+
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[None]:
+    """The same within a block; afterwards the session is as it was."""
+    before = spark.conf.get(_TUNING[0], None)
+    spark.conf.set(*_TUNING)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_TUNING[0])
+        else:
+            spark.conf.set(_TUNING[0], before)
