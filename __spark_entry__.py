@@ -20,7 +20,7 @@ from cartloom.operators import adhoc, assertions, batch, canonical, checks, repo
 from cartloom.operators.mart import build_fct_orders
 from cartloom.operators.quarantine import reject_orders
 from cartloom.plans import daily, refresh
-from cartloom.schemas import RAW_COLUMNS, SOURCE_COLUMNS
+from cartloom.schemas import CLEANED_SCHEMA, RAW_COLUMNS, SOURCE_COLUMNS
 from cartloom.session import fresh_folder, tune
 from cartloom.sources import landing, manifest, tables
 from cartloom.streaming.landing import stream_landing
@@ -55,16 +55,26 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_raw(spark, path)
 
 
+def loads_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_table(spark, sf_dir)
+    return tables.read_loads(spark, _written[spark.sparkContext.applicationId, sf_dir, "raw"])
+
+
+def _days(spark: SparkSession, sf_dir: str, day: B.dt.date) -> list[B.dt.date]:
+    """Run dates loaded on a day: the only partitions of raw that a run of that day reads."""
+    return batch.run_dates_of(loads_table(spark, sf_dir), day)
+
+
 def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
-        tables.overwrite_table(staging.clean_orders(raw_table(spark, sf_dir), B.AS_OF), path)
+        tables.overwrite_table(_cleaned(spark, sf_dir), path)
 
     return tables.read_cleaned(spark, _stored(spark, sf_dir, "cleaned", write))
 
 
 def rejected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
-        tables.overwrite_table(reject_orders(raw_table(spark, sf_dir), B.AS_OF, B.REJECTED_AT), path)
+        tables.overwrite_table(reject_orders(raw_table(spark, sf_dir), B.AS_OF, B.REJECTED_AT, _days(spark, sf_dir, B.AS_OF)), path)
 
     return tables.read_rejected(spark, _stored(spark, sf_dir, "rejected", write))
 
@@ -147,7 +157,7 @@ def q_typed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.clean_orders(raw_table(spark, sf_dir), B.AS_OF)
+    return staging.clean_orders(raw_table(spark, sf_dir), B.AS_OF, run_dates=_days(spark, sf_dir, B.AS_OF))
 
 
 def q_fct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,15 +170,19 @@ def _as_of_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mart_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart of the day before, refreshed with the batch of ``AS_OF``."""
+    """The mart of the day before, refreshed twice on ``AS_OF``.
+
+    The first refresh puts the batch's orders into a month of their own; the second brings them where
+    they belong and empties that month on the same day.
+    """
     raw, yesterday = raw_table(spark, sf_dir), B.AS_OF - B.dt.timedelta(days=1)
     folder = fresh_folder(spark, "refresh")
-    tables.overwrite_table(staging.clean_orders(raw, yesterday), f"{folder}/history")
-    history = tables.read_cleaned(spark, f"{folder}/history")
+    tables.replace_history_months(staging.clean_orders(raw, yesterday), f"{folder}/history")
+    history = tables.read_history(spark, f"{folder}/history").select(*CLEANED_SCHEMA.names)
     tables.write_mart(build_fct_orders(history, yesterday), f"{folder}/mart")
     today = cleaned_table(spark, sf_dir)
-    dates = refresh.touched_dates(history, today)
-    refresh.upsert_mart(spark, refresh.merge_orders(history, today), dates, f"{folder}/mart", B.AS_OF)
+    for batch in (today.withColumn("order_date", F.lit(B.dt.date(1950, 1, 1))), today):
+        refresh.refresh(spark, f"{folder}/history", batch, f"{folder}/mart", B.AS_OF)
     return _plain(tables.read_mart(spark, f"{folder}/mart"))
 
 
@@ -225,8 +239,9 @@ def q_dq_results_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Check results of two days in one table."""
     raw, path = raw_table(spark, sf_dir), fresh_folder(spark, "dq_results")
     for day in (B.AS_OF - B.dt.timedelta(days=1), B.AS_OF):
-        tables.append_dq_results(checks.dq_checks(raw, day, B.utc_instant(day, 6, 45)), path)
-    return _plain(spark.read.parquet(path))
+        for _ in range(2):  # a repeated run replaces its own results
+            tables.keep_results(checks.dq_checks(raw, day, B.utc_instant(day, 6, 45), _days(spark, sf_dir, day)), path, day)
+    return _plain(spark.read.parquet(path).drop("_run"))
 
 
 def q_already_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,6 +257,17 @@ def q_align_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.align_to_schema(frame.drop("payment_method"))
 
 
+def q_drifted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of an export as parsed: a column the raw table does not have counts as well."""
+    path = f"{fresh_folder(spark, 'drifted')}/{B.export_name(B.AS_OF)}"
+    coupon = F.when(F.col("quantity") == "1", "SAVE").otherwise("").alias("coupon_code")
+    rows = _as_of_file(spark, sf_dir).select("*", coupon).drop("payment_method")
+    keep = {"header": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**keep).csv(path)
+    (frame,) = landing.read_landing_csv(spark, path)
+    return reports.empty_cells_by_column(frame.drop("_source_filename"))
+
+
 def q_landing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = B.landing_messages(spark, sf_dir)
     name = manifest.matching_attachment(F.col("attachments"))
@@ -289,8 +315,8 @@ def queries() -> dict[str, Query]:
     day = B.AS_OF
     return {
         "raw_orders": lambda s, d: _plain(raw_table(s, d)),
-        "current_batch": lambda s, d: _plain(batch.current_batch(raw_table(s, d), day)),
-        "latest_run": lambda s, d: _plain(batch.latest_run(raw_table(s, d))),
+        "current_batch": lambda s, d: _plain(batch.current_batch(raw_table(s, d), day, _days(s, d, day))),
+        "latest_run": lambda s, d: _plain(batch.latest_run(raw_table(s, d), loads_table(s, d))),
         "exact_distinct": lambda s, d: _plain(batch.exact_distinct(batch.current_batch(raw_table(s, d), day))),
         "dedup_latest": lambda s, d: _plain(batch.dedup_latest(batch.has_order_id(batch.current_batch(raw_table(s, d), day)))),
         "safe_casts": q_safe_casts,
@@ -306,20 +332,21 @@ def queries() -> dict[str, Query]:
         "large_amounts": q_large_amounts,
         "typed_orders": q_typed_orders,
         "orders_cleaned": lambda s, d: _plain(_cleaned(s, d)),
-        "orders_rejected": lambda s, d: _plain(reject_orders(raw_table(s, d), day, B.REJECTED_AT)),
+        "orders_rejected": lambda s, d: _plain(reject_orders(raw_table(s, d), day, B.REJECTED_AT, _days(s, d, day))),
         "fct_orders": q_fct_orders,
         "mart_assertions": lambda s, d: assertions.mart_assertions(mart_table(s, d)),
         "cleaned_assertions": q_cleaned_assertions,
-        "dq_checks": lambda s, d: _plain(checks.dq_checks(raw_table(s, d), day, B.CHECKED_AT)),
+        "dq_checks": lambda s, d: _plain(checks.dq_checks(raw_table(s, d), day, B.CHECKED_AT, _days(s, d, day))),
         "dq_critical": lambda s, d: _plain(
-            checks.critical_failures(checks.dq_checks(raw_table(s, d), day, B.CHECKED_AT))),
+            checks.critical_failures(checks.dq_checks(raw_table(s, d), day, B.CHECKED_AT, _days(s, d, day)))),
         "dq_empty_batch": lambda s, d: _plain(
             checks.dq_checks(raw_table(s, d), day + B.dt.timedelta(days=30), B.CHECKED_AT)),
         "dq_results_log": q_dq_results_log,
         "stage_funnel": lambda s, d: _plain(
-            reports.stage_funnel(raw_table(s, d), cleaned_table(s, d), rejected_table(s, d))),
+            reports.stage_funnel(raw_table(s, d), cleaned_table(s, d), rejected_table(s, d), loads_table(s, d))),
         "rejection_reasons": lambda s, d: reports.rejection_reasons(rejected_table(s, d), day),
         "load_quality_report": lambda s, d: reports.load_quality_report(_as_of_file(s, d)),
+        "drifted_load_quality": q_drifted_quality,
         "empty_cells_by_column": lambda s, d: reports.empty_cells_by_column(_as_of_file(s, d)),
         "landing_select_latest": lambda s, d: _plain(
             manifest.select_latest_landing(B.landing_messages(s, d), B.MANIFEST_NOW)),

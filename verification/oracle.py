@@ -464,6 +464,12 @@ def oracle_statements() -> dict[str, str]:
             f"SELECT {lit(c)} AS column_name, count(*) FILTER (WHERE {c} = '') AS empty_count, "
             f"{pct(f'''count(*) FILTER (WHERE {c} = '')''', 'count(*)', 1)} AS pct_of_rows FROM file" for c in SOURCE_COLUMNS)
             + ") WHERE empty_count > 0"),
+        "drifted_load_quality": over(file_cte, "SELECT column_name, empty_count, pct_of_rows FROM (" + " UNION ALL ".join(
+            f"SELECT {lit(c)} AS column_name, count(*) FILTER (WHERE {test}) AS empty_count, "
+            f"{pct(f'count(*) FILTER (WHERE {test})', 'count(*)', 1)} AS pct_of_rows FROM file"
+            for c, test in [*[(c, f"{c} = ''") for c in SOURCE_COLUMNS if c != "payment_method"],
+                            ("coupon_code", "quantity IS DISTINCT FROM '1'")])
+            + ") WHERE empty_count > 0"),
         "landing_select_latest": f"""WITH {messages_cte()} SELECT CASE WHEN seq IS NULL THEN 'no_email'
               WHEN filename IS NULL THEN 'no_attachment' ELSE 'found' END AS status, seq, subject, sender,
               {stamp('received_at')} AS received_at, filename, regexp_extract(subject, '\\d{{4}}-\\d{{2}}-\\d{{2}}$') AS run_date
