@@ -11,8 +11,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A frame is broadcast by hint only below this row count; beyond it Spark picks the join.
+# A frame is broadcast by hint only below these bounds; beyond them Spark picks the join.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 
 
 def local_session(cores: str | int = "*", name: str = "cartloom") -> SparkSession:
@@ -53,15 +54,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; a larger frame is left to the optimizer."""
-    counted = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else df
+    """Hint a broadcast only after counting rows and bytes (as text); a larger frame is left to the optimizer."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    rows, taken = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and taken <= BROADCAST_BYTES else df
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """Use all cores on a table of few splits; a table with enough splits is not shuffled."""
+    """Use all cores on a table of few files; a table with enough files is not shuffled."""
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
 
 
 _TUNING = ("spark.sql.codegen.hugeMethodLimit", "8000")
