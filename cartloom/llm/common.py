@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 
 

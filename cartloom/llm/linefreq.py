@@ -16,17 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import WHITE, WHITE_RUN, bind, text_key, text_or_empty, words
+from cartloom.llm.common import bind, text_key, text_or_empty, words
 from cartloom.session import written
 
-SYMBOLS = "#*$%&|<>"
+SYMBOL, IN_WORD = r"[#*$%&|<>]", r"[^\x20\x09-\x0D]"
 MIN_WORDS, MAX_REPEATED = 50, 50
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def repeated_words(tokens: Column) -> Column:
     """Words inside 3-word windows that occur twice or more."""
     last = F.size(tokens) - 3
@@ -50,11 +46,11 @@ def repeated_words(tokens: Column) -> Column:
 def base_counts(text: Column) -> Column:
     """Struct of the base counts of a text."""
     text = text_or_empty(text)
-    lines = F.filter(F.split(text, "\n", -1), lambda line: _without(line, WHITE) != "")
+    lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(IN_WORD))
     return bind(words(text), lambda tokens: F.struct(
         F.size(tokens).cast("long").alias("n_words"),
-        F.length(_without(text, WHITE)).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
+        F.length(F.array_join(tokens, "")).cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(tokens).cast("long").alias("n_repeat_words"),
     ))
@@ -62,10 +58,11 @@ def base_counts(text: Column) -> Column:
 
 def normalised_lines(text: Column) -> Column:
     """Structs of hash and number of words of each line with a word."""
-    flat = F.translate(F.lower(text_or_empty(text)), "0123456789\t\x0b\x0c\r", "0000000000    ")
-    lines = F.split(F.regexp_replace(flat, " {2,}", " "), " ?\n ?", -1)
-    return F.transform(F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.struct(
-        F.xxhash64(x).alias("line"), (F.length(x) - F.length(_without(x, " ")) + 1).alias("words")
+    zeros = F.regexp_replace(F.lower(text_or_empty(text)), "[0-9]", "0")
+    flat = F.regexp_replace(zeros, r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]", " ")  # single blanks stay as they are
+    lines = F.filter(F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
+    return F.transform(lines, lambda x: F.struct(
+        F.xxhash64(x).alias("line"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("words")
     ))
 
 
