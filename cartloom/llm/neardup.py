@@ -180,7 +180,8 @@ def simhash_links(fps: DataFrame, distance: int) -> DataFrame:
     pairs = buckets.where((F.col("n") == 2) & chain_holds("a", "b", "bucket", distance)).select("a", "b")
 
     large = buckets.where("n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = keys.join(large, "bucket").select(
+    # By merge at every size: the keys are many, and the large buckets grow with the corpus.
+    members = keys.join(large.hint("merge"), "bucket").select(
         "bucket", "fp", "blocks", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("own")
     )
     met = members.select("bucket", "fp", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).select(
