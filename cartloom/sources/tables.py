@@ -16,16 +16,18 @@ from cartloom.sources.files import exists
 STARTED, LOADED, EMPTY, BAD_DATE = "started", "loaded", "empty", "bad_date"
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A stored table in declared column order. A table not written yet has no rows;
-    any other problem is an error."""
+def read_table(spark: SparkSession, path: str, schema: StructType, must_exist: bool = False) -> DataFrame:
+    """A stored table in declared column order. A table not written yet has no rows, unless it
+    ``must_exist``; any other problem is an error."""
     if not exists(spark, path):
+        if must_exist:
+            raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, RAW_SCHEMA)
+def read_raw(spark: SparkSession, path: str, must_exist: bool = False) -> DataFrame:
+    return read_table(spark, path, RAW_SCHEMA, must_exist)
 
 
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
