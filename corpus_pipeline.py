@@ -28,8 +28,11 @@ def _whole(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a learned language; texts without letters go."""
+    """Keeps documents in a learned language; texts without letters go. Where no row names a language,
+    nothing can be learned and all documents stay."""
     model = langid.train_filter(docs)
+    if not model.languages:
+        return docs
     found = langid.predict_language(_whole(docs), model, F.col("doc.text"))
     known = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     return found.where(known).select("doc.*")
