@@ -18,7 +18,7 @@ import heapq
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartloom.llm.common import running_offsets, salt, text_key, text_or_empty
@@ -72,10 +72,16 @@ def _plan(shards: int):
 
 
 def lpt_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
-               splits: int = 128) -> DataFrame:
-    """Per row: id, ``size``, ``text_crc32``, ``shard`` and ``slot``, its gapless place in the shard."""
+               splits: int = 128, order_by: tuple[Column, Column] | None = None) -> DataFrame:
+    """Per row: id, ``size``, ``text_crc32``, ``shard`` and ``slot``, its gapless place in the shard.
+
+    ``order_by`` is a part of the rows and a place in it: slots then follow parts and their places.
+    Without it, slots follow a hash.
+    """
     text = text_or_empty(F.col(text_col))
+    ordered = [c.alias(n) for c, n in zip(order_by or (), ("part", "place"))]
     rows = docs.select(
+        *ordered,
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
@@ -94,15 +100,15 @@ def lpt_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .join(plan, "group_bytes")
         .select("group", F.size(F.filter("bounds", lambda b: b <= F.col("place") + F.col("offset"))).alias("shard"))
     )
-    dealt = rows.join(placed, "group").select(
-        "doc_id", "size", "text_crc32", "shard", salt(splits, F.col("doc_id"), F.col("text_crc32")).alias("part")
-    )
-    # shards x splits rows at most.
+    by = ["part", "place"] if order_by else [salt(splits, F.col("doc_id"), F.col("text_crc32")).alias("part")]
+    dealt = rows.join(placed, "group").select("doc_id", "size", "text_crc32", "shard", *by)
     starts = running_offsets(dealt.groupBy("shard", "part").agg(F.count("*").alias("n")), ["shard"], "part")
-    row = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32")) - 1
+    starts = starts.select("shard", "part", "offset")
+    row = F.row_number().over(Window.partitionBy("shard", "part").orderBy(*(["place"] if order_by else ["doc_id", "text_crc32"]))) - 1
     return (
         dealt.withColumn("row", row)
-        .join(F.broadcast(starts.select("shard", "part", "offset")), ["shard", "part"])
+        # Without an order shards x splits rows at most; given parts can be many more.
+        .join(starts if order_by else F.broadcast(starts), ["shard", "part"])
         .select("doc_id", "size", "text_crc32", "shard", (F.col("row") + F.col("offset")).alias("slot"))
     )
 

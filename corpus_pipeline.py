@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.llm import decontam, langid, mixing, neardup, sharding
@@ -54,15 +55,27 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, written in the order of the mix."""
+    """All documents, written in the order of the mix; the sharding stage reads that order."""
     rows = _whole(docs).select("doc", F.col("doc.source").alias("source"), F.col("doc.doc_id").alias("id"))
     mixed = mixing.pfair_mix(rows, mixing.tempered_weights(docs), F.col("id"))
     return mixing.in_mix_order(mixed).select("doc.*")
 
 
+def written_order(docs: DataFrame, part_rows: int = 100_000) -> tuple[Column, Column]:
+    """Part and place in it of each row as it was written: file by file, row by row. Rows that come from
+    no file follow the frame's partitions."""
+    try:
+        stored = docs.metadataColumn("_metadata")
+        docs.select(stored["row_index"])
+    except AnalysisException:
+        return F.spark_partition_id(), F.monotonically_increasing_id()
+    task = F.try_to_number(F.regexp_extract(stored["file_name"], r"^part-(\d+)", 1), F.lit("999999999999"))
+    return F.struct(task, stored["file_path"], F.floor(stored["row_index"] / part_rows)), stored["row_index"]
+
+
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of every document."""
-    return sharding.lpt_shards(docs)
+    """The shard and slot of every document; in each shard, slots follow the order of the mix."""
+    return sharding.lpt_shards(docs, order_by=written_order(docs))
 
 
 STAGES: list[tuple[str, Stage]] = [
