@@ -10,6 +10,12 @@ document's grid windows and all windows of the items get 60 bit SimHashes of the
 within ``RADIUS`` bits agree in one of ``RADIUS + 1`` blocks, so the join on blocks finds them all; every
 candidate's item-sized window is then compared exactly.
 
+Moved parts cost four shingles where they meet and leave no such run in its place. So items that may
+lose ``MOVE_COST`` shingles are looked for by shingles too: a window that is similar enough has all but
+``lost`` of the item's shingles, hence one of any ``lost + 1`` of them. The document's shingles at all
+places are joined with those, and of every hit all windows of the item's length that hold it and enough
+of the item's shingles are compared exactly.
+
 The benchmark is joined in parts of at most about ``part_words`` words, so what is broadcast is
 bounded; documents are never shuffled. Null and empty texts leak nothing and empty items match
 nothing. Null ids form one row per item. Repeated rows and repeated items change nothing. An empty
@@ -26,6 +32,7 @@ from pyspark.sql import functions as F
 from cartloom.llm.common import bind, text_or_empty
 
 SHINGLE, THRESHOLD = 5, 0.8
+MOVE_COST = SHINGLE - 1
 RADIUS, BITS = 3, 60
 WIDTHS = (1, 2, 3, 5, 7, 12)
 _LANES = 0x0111111111111111
@@ -37,6 +44,12 @@ def plain_words(text: Column) -> Column:
     return F.array_remove(F.split(flat, " "), "")
 
 
+def lost_of_item(length: int, threshold: float = THRESHOLD) -> int:
+    """Shingles of an item of ``length`` words that a similar window may lack, also one cut short by the
+    document's ends: the common ones are at least ``threshold`` of the item's."""
+    return int(max(1, length - SHINGLE + 1) * (1 - threshold) + 1e-9)
+
+
 def window_width(length: int, threshold: float = THRESHOLD) -> int:
     """Width whose grid always puts a window into the least run that an item of ``length`` words shares."""
     shingles = max(1, length - SHINGLE + 1)
@@ -122,6 +135,44 @@ def weighted_similarity(one: Column, two: Column) -> Column:
     )
 
 
+def _hashed_shingles(hashes: Column) -> Column:
+    """Hash of the five-word shingle at each place of an array of word hashes."""
+    last = F.size(hashes) - SHINGLE
+    return F.when(last >= 0, F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(hashes, i + t) for t in range(SHINGLE)])
+    )).otherwise(F.array().cast("array<long>"))
+
+
+def moved_windows(rows: DataFrame, items: DataFrame, lengths: list[int], threshold: float) -> DataFrame:
+    """Windows of an item's length that hold enough of its shingles, in whatever order.
+
+    ``rows`` has ``doc_id``, ``words`` and their hashes ``h``; ``items`` has ``item_id``, ``item`` and ``h``;
+    their ``lengths`` are given.
+    """
+    lost_of = F.create_map(*[F.lit(x) for n in lengths for x in (n, lost_of_item(n, threshold))])
+    whole = items.distinct().select("item_id", "item", _hashed_shingles(F.col("h")).alias("of"), lost_of[F.size("item")].alias("lost"))
+    keys = whole.select("item_id", "item", "of", "lost", F.explode(F.array_distinct(
+        F.slice(F.sort_array("of"), F.lit(1), F.col("lost") + 1))).alias("key"))
+    places = rows.select("doc_id", "words", "h", F.explode(F.when(
+        F.size("h") >= SHINGLE, F.sequence(F.lit(0), F.size("h") - SHINGLE))).alias("p"))
+    places = places.select("doc_id", "words", "h", "p", F.xxhash64(*[
+        F.coalesce(F.get("h", F.col("p") + t), F.lit(0).cast("long")) for t in range(SHINGLE)]).alias("key"))
+    hits = places.join(F.broadcast(keys), "key")
+    # The windows that hold the hit lie between these words.
+    size = F.size("item")
+    low = F.greatest(F.col("p") + SHINGLE - size, F.lit(0))
+    held = bind(F.slice("h", low + 1, F.col("p") + size - low), lambda near: F.transform(
+        _hashed_shingles(near), lambda x: F.array_contains(F.col("of"), x).cast("int")))
+    # A document shorter than the item is one window.
+    last, n = F.greatest(F.least(F.size("h"), F.col("p") + size) - low - size, F.lit(0)), F.size("of")
+    starts = bind(held, lambda one: F.filter(F.sequence(F.lit(0), last), lambda start: F.aggregate(
+        F.slice(one, start + 1, n), F.lit(0), lambda total, x: total + x) >= n - F.col("lost")))
+    return hits.select("doc_id", "item_id", "item", "words", low.alias("low"), F.explode(starts).alias("start")).select(
+        "doc_id", "item_id", (F.col("low") + F.col("start")).alias("at"), "item",
+        F.slice("words", F.col("low") + F.col("start") + 1, F.size("item")).alias("window"),
+    ).distinct()
+
+
 def leaked_items(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, part_words: int = 200_000,
@@ -157,6 +208,9 @@ def leaked_items(
             "doc_id", "item_id", F.greatest(begin, F.lit(0)).alias("at"), "item",
             F.slice("words", F.greatest(begin, F.lit(0)) + 1, F.size("item") + F.least(begin, F.lit(0))).alias("window"),
         ))
+        movable = [n for n in lengths if lost_of_item(n, threshold) >= MOVE_COST]
+        if movable:
+            found.append(moved_windows(rows, some.where(F.size("item").isin(movable)).select("item_id", "item", "h"), movable, threshold))
     if not found:
         none = F.lit(None).cast(named.schema["item_id"].dataType).alias("item_id")
         return rows.limit(0).select("doc_id", none, F.lit(0.0).alias("similarity"), F.lit(0).alias("at"))
