@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, decontam, langid, linefreq, mixing, neardup, pii, resampling, sharding, tokens
+from cartloom.llm import chat, collocations, decontam, extraction, langid, linefreq, mixing, neardup, pii, ranking, resampling, sharding, tokens
 from cartloom.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,21 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digest(chat.prefix_target_examples(rows.unionByName(extra)))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two and three words of each language of all documents."""
+    return collocations.top_phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for every benchmark item."""
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def _escaped(column: str) -> str:
     out = f"replace({column}, '\\', '\\\\')"
     for c in chat.CONTROL_STRINGS:
@@ -201,6 +216,65 @@ def _op5_sql() -> str:
     """
 
 
+_SMALL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _op11_sql() -> str:
+    text = _SMALL.format("coalesce(text, '')")
+    return f"""
+        WITH p AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({text}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+        ), g AS (
+            SELECT lang, 1 AS words, unnest(w) AS phrase FROM p
+            UNION ALL
+            SELECT lang, 2, a || ' ' || b FROM (SELECT lang, unnest(w) AS a, unnest(w[2:]) AS b FROM p) WHERE b IS NOT NULL
+            UNION ALL
+            SELECT lang, 3, a || ' ' || b || ' ' || c
+            FROM (SELECT lang, unnest(w) AS a, unnest(w[2:]) AS b, unnest(w[3:]) AS c FROM p) WHERE c IS NOT NULL
+        ), f AS MATERIALIZED (SELECT lang, words, phrase, string_split(phrase, ' ') AS w, count(*) AS n FROM g GROUP BY lang, words, phrase),
+        c AS MATERIALIZED (SELECT * FROM f WHERE words > 1 AND n >= 10),
+        cuts AS MATERIALIZED (
+            SELECT lang || ' ' || array_to_string(w[1:k], ' ') AS first, lang || ' ' || array_to_string(w[k + 1:], ' ') AS rest, lang, phrase, n, k
+            FROM (SELECT *, unnest(range(1, words)) AS k FROM c)
+        ), named AS MATERIALIZED (SELECT lang || ' ' || phrase AS name, n FROM f WHERE n >= 10),
+        firsts AS MATERIALIZED (SELECT cuts.*, named.n AS l FROM cuts JOIN named ON name = first),
+        scored AS (
+            SELECT firsts.*, named.n AS r, (1000000::HUGEINT * firsts.n * firsts.n) // (l::HUGEINT * named.n) AS score
+            FROM firsts JOIN named ON name = rest
+        ), best AS (
+            SELECT lang, phrase, n AS a, l, r, score FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inner_parts AS (
+            SELECT lang, phrase, max(n) AS f
+            FROM (SELECT lang, n, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE words = 3) GROUP BY lang, phrase
+        ), total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, total.n AS n, score::BIGINT AS score
+        FROM best JOIN total USING (lang) LEFT JOIN inner_parts USING (lang, phrase)
+        WHERE f IS NULL OR 100 * f < 50 * a QUALIFY rank <= 2000
+    """
+
+
+def _op12_sql() -> str:
+    terms = "regexp_extract_all(" + _SMALL.format("text") + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, {terms} AS t FROM documents),
+        sized AS (SELECT row_no, doc_id, len(t) AS n FROM d WHERE len(t) > 0),
+        whole AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM sized),
+        tf AS MATERIALIZED (SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest(t) AS term FROM d) GROUP BY ALL),
+        wanted AS (SELECT DISTINCT item_id, unnest({terms}) AS term FROM benchmark),
+        weight AS (
+            SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), whole
+        ), scored AS (
+            SELECT item_id, row_no, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l))))::BIGINT AS score
+            FROM wanted JOIN tf USING (term) JOIN weight USING (term) JOIN sized USING (row_no), whole GROUP BY ALL
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scored JOIN sized USING (row_no) WHERE score > 0 QUALIFY rank <= 10
+    """
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -212,6 +286,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_pfair_mixing": op9_pfair_mixing,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_collocations": op11_collocations,
+    "op12_reversed_search": op12_reversed_search,
+    "op13_html_extraction": op13_html_extraction,
 }
 
 # The others fit models, cut with vocabularies, follow links or schedule; tests hold them against brute force.
@@ -219,4 +296,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_frequency_rules": _op4_sql(),
     "op5_benchmark_decontamination": _op5_sql(),
     "op10_chat_formatting": _op10_sql(),
+    "op11_collocations": _op11_sql(),
+    "op12_reversed_search": _op12_sql(),
 }
