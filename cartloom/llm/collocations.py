@@ -24,7 +24,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ from cartloom.session import written
 UNKNOWN_LANGUAGE = "und"
 HEAD_WORDS, WORD_BYTES, HEAD_PHRASES = 1 << 19, 64, 1 << 20
 TILE_BITS = 9  # a tile has 512 x 512 counters
-BLOCK_BYTES = 8 << 20  # text cut and counted at once
+BLOCK_BYTES = 4 << 20  # text cut and counted at once
 HELD = 1 << 20  # different phrases a task holds before it hands them on
 
 _BREAK, _OUTSIDE, _TAIL = b"\xff", -2, -1  # a byte that no UTF-8 text has; ids of a piece's end and of an unlisted word
@@ -48,29 +47,75 @@ _COUNTS = pa.schema([("lang", pa.string()), ("code", pa.int64()), ("phrase", pa.
 _COUNTS_SQL = "lang string, code long, phrase binary, n long"
 
 
-@dataclass
 class Head:
-    """Ids of the most frequent words and phrases of one language."""
+    """Ids of the most frequent words and phrases of one language, opened from their packed form.
 
-    words: dict[bytes, int] = field(default_factory=dict)
-    phrases: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # by length: sorted codes, their ids
+    ``packed`` words stand in the order of their ids, one a line (no word holds a line's end); ``ranked`` has,
+    by length, the codes of the phrases in that order.
+    """
+
+    def __init__(self, packed: bytes, ranked: list[np.ndarray]):
+        self.names = packed.split(b"\n") if packed else []
+        self.words = dict(zip(self.names, range(len(self.names)), strict=True))
+        self.ranked = ranked
+        self.sorted = [(codes[order], order) for codes in ranked for order in [np.argsort(codes)]]
 
     def extend(self, ids: np.ndarray, level: int) -> np.ndarray:
         """Ids of the phrases of ``level`` words that start at each place."""
         at = ids
         for length in range(2, level + 1):
-            at = self._found(at[:-1], ids[length - 1:], *self.phrases[length - 2])
+            at = self._found(at[:-1], ids[length - 1:], *self.sorted[length - 2])
         return at
 
-    def _found(self, left: np.ndarray, right: np.ndarray, codes: np.ndarray, named: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _found(left: np.ndarray, right: np.ndarray, codes: np.ndarray, named: np.ndarray) -> np.ndarray:
         outside, known = (left == _OUTSIDE) | (right == _OUTSIDE), (left >= 0) & (right >= 0)
         found = np.where(outside, _OUTSIDE, _TAIL)
-        code = _code(left[known], right[known])
-        place = np.minimum(np.searchsorted(codes, code), max(len(codes) - 1, 0))
         if len(codes):
+            code = _code(left[known], right[known])
+            place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
             found[known] = np.where(codes[place] == code, named[place], _TAIL)
         return found
 
+    def spell(self, codes: np.ndarray, length: int) -> list[bytes]:
+        """Texts of coded phrases."""
+        left, right = codes // HEAD_WORDS, (codes % HEAD_WORDS).tolist()
+        first = [self.names[i] for i in left.tolist()] if length == 2 else self.spell(self.ranked[length - 3][left], length - 1)
+        return [a + b" " + self.names[i] for a, i in zip(first, right, strict=True)]
+
+
+class Dictionary:
+    """The heads of all languages: packed while they travel, opened once in each worker."""
+
+    def __init__(self, levels: int = 0):
+        self.packed: dict[str, tuple[bytes, list[np.ndarray]]] = {}
+        self.levels, self._open = levels, {}
+
+    def __getstate__(self) -> dict:
+        return {"packed": self.packed, "levels": self.levels, "_open": {}}
+
+    def head(self, lang: str) -> Head:
+        if lang not in self._open:
+            self._open[lang] = Head(*self.packed.get(lang, (b"", [np.zeros(0, np.int64)] * self.levels)))
+        return self._open[lang]
+
+    def add_words(self, listed: pa.Table) -> None:
+        order = np.lexsort((np.array(listed["phrase"].to_pylist(), object), -listed["n"].to_numpy()))
+        for lang, rows in _by_language(listed.take(order)):
+            self.packed[lang] = (b"\n".join(rows["phrase"].to_pylist()), [])
+
+    def add_phrases(self, listed: pa.Table) -> None:
+        codes = {lang: rows["code"].to_numpy() for lang, rows in _by_language(listed.take(np.lexsort((listed["code"], -listed["n"].to_numpy()))))}
+        for lang, (_, ranked) in self.packed.items():
+            ranked.append(codes.get(lang, np.zeros(0, np.int64)))
+        self.levels += 1
+        self._open = {}
+
+
+def _by_language(rows: pa.Table) -> Iterator[tuple[str, pa.Table]]:
+    langs = np.array(rows["lang"].to_pylist(), object)
+    yield from ((lang, rows.filter(pa.array(langs == lang))) for lang in dict.fromkeys(langs.tolist()))
+
 
 def _code(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return left * HEAD_WORDS + right
@@ -180,9 +225,9 @@ def _count_words(lang: str, words: list[bytes], counts: _Counts) -> None:
     texts[b""] += len(words) - texts.pop(_BREAK, 0)  # all words of the language
 
 
-def _count_phrases(heads: dict[str, Head], level: int, complete: bool):
+def _count_phrases(shared, level: int, complete: bool):
     def count(lang: str, words: list[bytes], counts: _Counts) -> None:
-        head = heads.get(lang) or Head(phrases=[(np.zeros(0, np.int64),) * 2] * (level - 2))
+        head = shared.value.head(lang)
         known = head.words
         ids = np.fromiter((known.get(w, _TAIL) for w in words), np.int64, len(words))
         ids[np.fromiter((w == _BREAK for w in words), bool, len(words))] = _OUTSIDE
@@ -222,55 +267,36 @@ def count_phrases(docs: DataFrame, longest: int = 3, min_count: int = 10, text_c
     levels = [singles.select("lang", F.col("phrase").cast("string").alias("phrase"), F.when(empty, 0).otherwise(1).alias("words"), "n")]
     listed, whole = _most_frequent(singles.where(~empty & (F.octet_length("phrase") <= WORD_BYTES)), HEAD_WORDS)
     complete = whole and not singles.where(F.octet_length("phrase") > WORD_BYTES).head(1)
-    heads: dict[str, Head] = {}
-    for row in sorted(listed.select("lang", "phrase", "n").collect(), key=lambda r: (-r.n, r.phrase)):
-        known = heads.setdefault(row.lang, Head()).words
-        known[bytes(row.phrase)] = len(known)
-    word_names = {lang: list(head.words) for lang, head in heads.items()}
-    part_names = word_names
+    dictionary = Dictionary()
+    dictionary.add_words(listed.select("lang", "phrase", "n").toArrow())
     for level in range(2, longest + 1):
-        shared, spelled = spark.sparkContext.broadcast(heads), spark.sparkContext.broadcast((part_names, word_names))
-        all_listed = complete
-
-        def count(lang, words, counts, shared=shared, level=level, all_listed=all_listed):
-            _count_phrases(shared.value, level, all_listed)(lang, words, counts)
-
-        frequent = _summed(rows, count).where(F.col("n") >= min_count)
-        table = written(frequent.mapInArrow(_spell(spelled), _COUNTS_SQL), f"phrases-{level}")
+        shared = spark.sparkContext.broadcast(dictionary)
+        frequent = _summed(rows, _count_phrases(shared, level, complete)).where(F.col("n") >= min_count)
+        table = written(frequent.mapInArrow(_spell(shared, level), _COUNTS_SQL), f"phrases-{level}")
+        shared.unpersist()
         levels.append(table.select("lang", F.col("phrase").cast("string").alias("phrase"), F.lit(level).alias("words"), "n"))
-        if level == longest:
-            break
-        listed, whole = _most_frequent(table.where("code IS NOT NULL"), HEAD_PHRASES)
-        complete = complete and whole
-        ranked: dict[str, tuple[list[int], list[int]]] = {}
-        for row in listed.select("lang", "code", "n").collect():
-            codes, ns = ranked.setdefault(row.lang, ([], []))
-            codes.append(row.code)
-            ns.append(row.n)
-        for lang, head in heads.items():
-            codes, ns = (np.array(x, np.int64) for x in ranked.get(lang, ([], [])))
-            by_count = codes[np.lexsort((codes, -ns))]
-            in_order = np.argsort(by_count)
-            head.phrases.append((by_count[in_order], in_order.astype(np.int64)))
-            parts, words = part_names[lang], word_names[lang]
-            part_names = {**part_names, lang: [parts[c // HEAD_WORDS] + b" " + words[c % HEAD_WORDS] for c in by_count.tolist()]}
+        if level < longest:
+            listed, whole = _most_frequent(table.where("code IS NOT NULL"), HEAD_PHRASES)
+            complete = complete and whole and not table.where("code IS NULL").head(1)
+            dictionary.add_phrases(listed.select("lang", "code", "n").toArrow())
     out = levels[0]
     for table in levels[1:]:
         out = out.unionByName(table)
     return out
 
 
-def _spell(spelled):
+def _spell(shared, level: int):
     """Puts the text of coded phrases beside their codes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, words = spelled.value
         for batch in batches:
-            langs, codes, phrases = (batch.column(k).to_pylist() for k in range(3))
-            texts = [
-                p if c is None else parts[g][c // HEAD_WORDS] + b" " + words[g][c % HEAD_WORDS]
-                for g, c, p in zip(langs, codes, phrases, strict=True)
-            ]
+            langs = np.array(batch.column(0).to_pylist(), object)
+            coded = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+            texts = np.array(batch.column(2).to_pylist(), object)
+            codes = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False)
+            for lang in set(langs[coded].tolist()):
+                own = coded & (langs == lang)
+                texts[own] = np.array([*shared.value.head(lang).spell(codes[own], level), None], object)[:-1]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary()), batch.column(3)], schema=_COUNTS)
 
     return run
