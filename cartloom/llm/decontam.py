@@ -1,25 +1,28 @@
-"""Benchmark decontamination: SimHash of item-sized windows, found by multi-index Hamming blocks.
-
-Texts are read as lower-cased words of letters and digits. A document leaks an item if a window of
-the item's length has weighted shingle similarity ``threshold`` or more with it: the sum of smaller
-over the sum of larger multiplicities of their five-word shingles (the whole sequence if it has fewer
-words). Such a window shares an unbroken run of words with the item whose least length follows from
-the item's. Window width ``w`` is chosen per item so that the run holds ``2w - 1`` words: then it holds
-a whole window of the document's grid of step ``w``, which equals one of the item's windows. The
-document's grid windows and all windows of the items get 60 bit SimHashes of their words. Fingerprints
-within ``RADIUS`` bits agree in one of ``RADIUS + 1`` blocks, so the join on blocks finds them all; every
-candidate's item-sized window is then compared exactly.
-
-Moved parts cost four shingles where they meet and leave no such run in its place. So items that may
-lose ``MOVE_COST`` shingles are looked for by shingles too: a window that is similar enough has all but
-``lost`` of the item's shingles, hence one of any ``lost + 1`` of them. The document's shingles at all
-places are joined with those, and of every hit all windows of the item's length that hold it and enough
-of the item's shingles are compared exactly.
-
-The benchmark is joined in parts of at most about ``part_words`` words, so what is broadcast is
-bounded; documents are never shuffled. Null and empty texts leak nothing and empty items match
-nothing. Null ids form one row per item. Repeated rows and repeated items change nothing. An empty
-table gives an empty result. Only the named columns are read.
+"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
+
+Texts are read as lower-cased words of letters and digits. A document leaks an item if a window of the item's
+length (shorter where the document's ends cut it) has weighted shingle similarity ``threshold`` or more with
+it: the sum of smaller over the sum of larger multiplicities of their five-word shingles (the whole sequence
+if an item has fewer words).
+
+1. Where to look. A similar window holds all but ``lost_of_item`` of the item's shingles, in whatever order. So
+   the shingles at all places of the documents, as narrow rows of three numbers, are joined with those of the
+   items, and a document and item that share fewer places are done with. For the others, windows begin where
+   the item would begin for one of the shared shingles, and at shared places that are followed by enough others
+   within the item's length. A window of greatest similarity is among these: moved to the right up to
+   its first shared place, a window loses none and may gain some.
+2. The windows and the items get 64 bit SimHashes of their words. The order of words does not matter to them, so
+   moved parts cost no bit. Fingerprints within ``RADIUS`` bits agree in one of ``RADIUS + 1`` blocks; the join
+   on the blocks finds them all.
+3. The shingles of the windows found are compared with the item's exactly.
+
+``RADIUS`` is wide because at a similarity of 0.8 a tenth of a window's words may differ, which turns about nine
+of 64 bits; unrelated windows differ in 32 (standard deviation 4). Items of any length cost in proportion to
+it. The items are joined in parts of about ``part_words`` words, so what is broadcast is bounded; of the
+documents only narrow rows that share a shingle are shuffled, and only documents with windows are read again.
+
+Null and empty texts leak nothing and empty items match nothing. Null ids form one row per item. Repeated
+rows and repeated items change nothing. An empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -29,14 +32,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import bind, text_or_empty
+from cartloom.llm.common import text_or_empty
+from cartloom.session import broadcast_if_small, written
 
 SHINGLE, THRESHOLD = 5, 0.8
-MOVE_COST = SHINGLE - 1
-RADIUS, BITS = 3, 60
-WIDTHS = (1, 2, 3, 5, 7, 12)
-_LANES = 0x0111111111111111
-_BLOCK = BITS // (RADIUS + 1)
+RADIUS, BITS = 20, 64
+_LANES = 0x0000000100000001  # a bit in each half of a long: sums count two bits at once
+_WINDOW = ["name", "item_no", "low", "words"]
 
 
 def plain_words(text: Column) -> Column:
@@ -44,179 +46,121 @@ def plain_words(text: Column) -> Column:
     return F.array_remove(F.split(flat, " "), "")
 
 
-def lost_of_item(length: int, threshold: float = THRESHOLD) -> int:
-    """Shingles of an item of ``length`` words that a similar window may lack, also one cut short by the
-    document's ends: the common ones are at least ``threshold`` of the item's."""
-    return int(max(1, length - SHINGLE + 1) * (1 - threshold) + 1e-9)
+def word_hashes(text: Column) -> Column:
+    return F.transform(plain_words(text), lambda w: F.xxhash64(w))
 
 
-def window_width(length: int, threshold: float = THRESHOLD) -> int:
-    """Width whose grid always puts a window into the least run that an item of ``length`` words shares."""
-    shingles = max(1, length - SHINGLE + 1)
-    lost = int(shingles * (1 - threshold) / (1 + threshold) + 1e-9)
-    edits, edge = divmod(lost, SHINGLE)  # a change inside costs five shingles, near an edge fewer
-    run = (length - edits - edge) // (edits + 1)
-    return max(w for w in WIDTHS if w <= max(1, (run + 1) // 2))
+def lost_of_item(shingles: Column, threshold: float = THRESHOLD) -> Column:
+    """Shingles of an item that a similar window may lack, also one cut short by the document's ends: the
+    common ones are at least ``threshold`` of the item's."""
+    return F.floor(shingles * (1 - threshold) + 1e-9).cast("int")
 
 
-def simhash(hashes: list[Column]) -> Column:
-    """SimHash of a few word hashes: fifteen counters of four bits are added up in each long."""
-    w = len(hashes)
-    bias = (7 - w // 2) * _LANES
-    out = F.lit(0).cast("long")
-    for k in range(4):
-        lanes = [F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_LANES)) for h in hashes]
-        total = reduce(lambda a, b: a + b, lanes) + F.lit(bias)
-        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(total, 3).bitwiseAND(F.lit(_LANES)), k))
-    return out
+def gram_hashes(hashes: Column, size: int) -> Column:
+    """Hash of the ``size`` words at each place of an array of word hashes; null if there are fewer."""
+    return F.when(F.size(hashes) >= size, F.transform(
+        F.sequence(F.lit(0), F.size(hashes) - size), lambda i: F.xxhash64(*[F.get(hashes, i + t) for t in range(size)])
+    ))
 
 
-def blocks(fp: Column, kind: Column) -> Column:
-    """Keys of a fingerprint's blocks; ``kind`` (a small number) keeps fingerprints of different widths apart."""
-    head = F.shiftleft(kind.cast("long"), 3 + _BLOCK)
-    return F.array(*[
-        head + F.lit(b << _BLOCK) + F.shiftrightunsigned(fp, _BLOCK * b).bitwiseAND(F.lit((1 << _BLOCK) - 1))
-        for b in range(RADIUS + 1)
-    ])
-
-
-def grid_windows(rows: DataFrame, widths: list[int], *keep: str) -> DataFrame:
-    """Windows of all ``widths``, each at steps of its width, in one pass: ``kind``, place ``at`` and fingerprint.
+def fingerprints(rows: DataFrame, keys: list[str], hashes: str) -> DataFrame:
+    """``keys`` and SimHash ``fp`` of each row: a bit is set if more than half of the words' hashes have it."""
+    words = rows.select(*keys, F.explode(hashes).alias("x"))
+    lanes = [F.sum(F.shiftrightunsigned("x", k).bitwiseAND(F.lit(_LANES))).alias(f"lane{k}") for k in range(BITS // 2)]
+    sums = words.groupBy(*keys).agg(F.count("*").alias("n"), *lanes)
 
-    ``rows`` has the word hashes ``h``.
-    """
-    counts = [F.floor(F.size("h") / w).cast("int") for w in widths]
-    ends = [reduce(lambda a, b: a + b, counts[: i + 1]) for i in range(len(widths))]
-    # No filter on the number of words and no null: either would compute words or fingerprints twice.
-    number = F.explode(F.when(ends[-1] > 0, F.sequence(F.lit(0), ends[-1] - 1))).alias("number")
-    kind, at, fp = F.lit(0), F.lit(0), F.lit(0).cast("long")
-    for i in reversed(range(len(widths))):
-        here, place = F.col("number") < ends[i], (F.col("number") - (ends[i - 1] if i else F.lit(0))) * widths[i]
-        kind = F.when(here, F.lit(i)).otherwise(kind)
-        at = F.when(here, place).otherwise(at)
-    placed = rows.select(*keep, "h", number).select(*keep, "h", kind.alias("kind"), at.alias("at"))
-    for i in reversed(range(len(widths))):
-        fp = F.when(F.col("kind") == i, simhash(_hashes(widths[i]))).otherwise(fp)
-    return placed.select(*keep, "kind", "at", fp.alias("fp"))
-
-
-def _hashes(width: int) -> list[Column]:
-    return [F.coalesce(F.get("h", F.col("at") + t), F.lit(0).cast("long")) for t in range(width)]
-
-
-def item_windows(rows: DataFrame, widths: list[int], *keep: str) -> DataFrame:
-    """All windows of each item; ``rows`` has the word hashes ``h`` and the item's ``kind`` of width."""
-    parts = []
-    for i, width in enumerate(widths):
-        own = rows.where((F.col("kind") == i) & (F.size("h") >= width))
-        own = own.select(*keep, "kind", "h", F.explode(F.sequence(F.lit(0), F.size("h") - width)).alias("at"))
-        parts.append(own.select(*keep, "kind", "at", simhash(_hashes(width)).alias("fp")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def shingles(tokens: Column) -> Column:
-    last = F.size(tokens) - SHINGLE
-    return F.when(last < 1, F.filter(F.array(F.array_join(tokens, " ")), lambda x: x != "")).otherwise(
-        F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(tokens, i + 1, SHINGLE), " "))
-    )
+    def bit(count: Column, k: int) -> Column:
+        return F.shiftleft((count * 2 > F.col("n")).cast("long"), k)
 
+    low = [bit(F.col(f"lane{k}").bitwiseAND(F.lit(0xFFFFFFFF)), k) for k in range(BITS // 2)]
+    high = [bit(F.shiftrightunsigned(f"lane{k}", 32), k + BITS // 2) for k in range(BITS // 2)]
+    return sums.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), low + high).alias("fp"))
 
-def weighted_similarity(one: Column, two: Column) -> Column:
-    """Sum of smaller over sum of larger multiplicities of the shingles of two short word arrays."""
-    def times(a: Column, x: Column) -> Column:
-        return F.size(F.filter(a, lambda y: y == x))
 
-    def compare(a: Column, b: Column) -> Column:
-        common = F.aggregate(F.array_distinct(a), F.lit(0), lambda s, x: s + F.least(times(a, x), times(b, x)))
-        return bind(common, lambda c: c / (F.size(a) + F.size(b) - c))
-
-    return F.when(one == two, F.lit(1.0)).otherwise(
-        bind(shingles(one), lambda a: bind(shingles(two), lambda b: compare(a, b)))
-    )
+def blocks(fp: Column, radius: int) -> Column:
+    """Keys of the ``radius + 1`` blocks of a fingerprint: number and bits."""
+    edges = [BITS * b // (radius + 1) for b in range(radius + 2)]
+    return F.array(*[
+        F.struct(F.lit(b).alias("block"), (F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << high - low) - 1)) if high - low < BITS else fp).alias("bits"))
+        for b, (low, high) in enumerate(zip(edges, edges[1:], strict=False))
+    ])
 
 
-def _hashed_shingles(hashes: Column) -> Column:
-    """Hash of the five-word shingle at each place of an array of word hashes."""
-    last = F.size(hashes) - SHINGLE
-    return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(hashes, i + t) for t in range(SHINGLE)])
-    )).otherwise(F.array().cast("array<long>"))
+def near_pairs(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
+    """Windows (with ``fp``) whose fingerprint is within ``radius`` bits of their item's, by the blocks they share."""
+    probes = windows.select(*_WINDOW, "fp", F.explode(blocks(F.col("fp"), radius)).alias("at")).select(*_WINDOW, "fp", "at.*")
+    known = items.select("item_no", F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"), radius)).alias("at"))
+    met = probes.join(known.select("item_no", "item_fp", "at.*"), ["item_no", "block", "bits"])
+    return met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(*_WINDOW).distinct()
 
 
-def moved_windows(rows: DataFrame, items: DataFrame, lengths: list[int], threshold: float) -> DataFrame:
-    """Windows of an item's length that hold enough of its shingles, in whatever order.
+def window_places(docs: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+    """Places of windows to look at, a row per document: ``name`` and structs of item_no, low and words.
 
-    ``rows`` has ``doc_id``, ``words`` and their hashes ``h``; ``items`` has ``item_id``, ``item`` and ``h``;
-    their ``lengths`` are given.
+    ``docs`` has ``name`` and word hashes ``h``; ``items`` has item_no, n, grams, need and h. ``sizes`` are the
+    lengths of the items' shingles.
     """
-    lost_of = F.create_map(*[F.lit(x) for n in lengths for x in (n, lost_of_item(n, threshold))])
-    whole = items.distinct().select("item_id", "item", _hashed_shingles(F.col("h")).alias("of"), lost_of[F.size("item")].alias("lost"))
-    keys = whole.select("item_id", "item", "of", "lost", F.explode(F.array_distinct(
-        F.slice(F.sort_array("of"), F.lit(1), F.col("lost") + 1))).alias("key"))
-    places = rows.select("doc_id", "words", "h", F.explode(F.when(
-        F.size("h") >= SHINGLE, F.sequence(F.lit(0), F.size("h") - SHINGLE))).alias("p"))
-    places = places.select("doc_id", "words", "h", "p", F.xxhash64(*[
-        F.coalesce(F.get("h", F.col("p") + t), F.lit(0).cast("long")) for t in range(SHINGLE)]).alias("key"))
-    hits = places.join(F.broadcast(keys), "key")
-    # The windows that hold the hit lie between these words.
-    size = F.size("item")
-    low = F.greatest(F.col("p") + SHINGLE - size, F.lit(0))
-    held = bind(F.slice("h", low + 1, F.col("p") + size - low), lambda near: F.transform(
-        _hashed_shingles(near), lambda x: F.array_contains(F.col("of"), x).cast("int")))
-    # A document shorter than the item is one window.
-    last, n = F.greatest(F.least(F.size("h"), F.col("p") + size) - low - size, F.lit(0)), F.size("of")
-    starts = bind(held, lambda one: F.filter(F.sequence(F.lit(0), last), lambda start: F.aggregate(
-        F.slice(one, start + 1, n), F.lit(0), lambda total, x: total + x) >= n - F.col("lost")))
-    return hits.select("doc_id", "item_id", "item", "words", low.alias("low"), F.explode(starts).alias("start")).select(
-        "doc_id", "item_id", (F.col("low") + F.col("start")).alias("at"), "item",
-        F.slice("words", F.col("low") + F.col("start") + 1, F.size("item")).alias("window"),
-    ).distinct()
+    about = ["item_no", "n", "grams", "need"]
+    shared = []
+    for size in sizes:
+        own = items.where(F.least("n", F.lit(SHINGLE)) == size)
+        known = own.select(*about, F.posexplode(gram_hashes(F.col("h"), size)).alias("offset", "key"))
+        places = docs.select("name", F.posexplode(gram_hashes(F.col("h"), size)).alias("p", "key"))
+        shared.append(places.join(F.broadcast(known), "key").select("name", *about, "p", (F.col("p") - F.col("offset")).alias("begin")))
+    met = reduce(DataFrame.unionByName, shared).groupBy("name", *about).agg(
+        F.sort_array(F.collect_set("p")).alias("places"), F.collect_set("begin").alias("begins")
+    ).where(F.size("places") >= F.col("need"))
+    followed = F.filter("places", lambda p, i: F.get("places", i + F.col("need") - 1) - p < F.col("grams"))
+    starts = met.select("name", "item_no", "n", F.explode(F.array_union("begins", followed)).alias("begin"))
+    windows = starts.select("name", "item_no", F.greatest("begin", F.lit(0)).alias("low"), (F.col("n") + F.least("begin", F.lit(0))).alias("words"))
+    return windows.groupBy("name").agg(F.collect_set(F.struct("item_no", "low", "words")).alias("windows"))
+
+
+def similarities(windows: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+    """Exact weighted similarity of each window (word hashes ``w``) to its item."""
+    def counted(rows: DataFrame, keys: list[str], hashes: str, length: Column, times: str) -> DataFrame:
+        grams = F.coalesce(*[F.when(F.least(length, F.lit(SHINGLE)) == s, gram_hashes(F.col(hashes), s)) for s in sizes])
+        return rows.select(*keys, F.explode(grams).alias("key")).groupBy(*keys, "key").agg(F.count("*").alias(times))
+
+    own = counted(items, ["item_no", "grams"], "h", F.col("n"), "item_times")
+    held = counted(windows, ["doc_id", *_WINDOW, "n"], "w", F.col("n"), "times")
+    total = F.sum("times")
+    common = held.join(own, ["item_no", "key"], "left").groupBy("doc_id", *_WINDOW).agg(
+        F.sum(F.least("times", F.coalesce("item_times", F.lit(0)))).alias("common"), total.alias("total"), F.max("grams").alias("grams")
+    )
+    return common.select("doc_id", "item_no", "low", (F.col("common") / (F.col("total") + F.col("grams") - F.col("common"))).alias("similarity"))
 
 
 def leaked_items(
-    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, part_words: int = 200_000,
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", threshold: float = THRESHOLD, part_words: int = 400_000, radius: int = RADIUS,
 ) -> DataFrame:
     """(doc_id, item_id) of every leak, with its greatest ``similarity`` and the first word it starts ``at``."""
-    named = items.select(F.col(item_col).alias("item_id"), plain_words(F.col(item_text_col)).alias("item")).where(F.size("item") > 0)
-    total, lengths = named.agg(F.sum(F.size("item")), F.collect_set(F.size("item"))).first()
-    widths = sorted({window_width(n, threshold) for n in lengths})
-    parts = -(-(total or 0) // part_words)
-    words = plain_words(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("doc_id"), words.alias("words"))
-    rows = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
+    named = items.select(F.col(item_col).alias("item_id"), word_hashes(F.col(item_text_col)).alias("h")).where(F.size("h") > 0).distinct()
+    grams = F.greatest(F.size("h") - SHINGLE + 1, F.lit(1))
+    known = written(named.select(
+        "item_id", "h", F.xxhash64("item_id", F.hash("h"), "h").alias("item_no"), F.size("h").alias("n"), grams.alias("grams"),
+        (grams - lost_of_item(grams, threshold)).alias("need"),
+    ), "items")
+    total, sizes = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.collect_set(F.least("n", F.lit(SHINGLE)))).first()
+    name = F.xxhash64(F.col(id_col), F.col(text_col)).alias("name")
+    hashed = docs.select(name, word_hashes(F.col(text_col)).alias("h"))
+    parts = -(-total // part_words)
     found = []
     for part in range(parts):
-        kind_of = F.create_map(*[F.lit(x) for n in lengths for x in (n, widths.index(window_width(n, threshold)))])
-        some = named.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
-        some = some.select("item_id", "item", F.transform("item", lambda w: F.xxhash64(w)).alias("h"), kind_of[F.size("item")].alias("kind"))
-        known = item_windows(some, widths, "item_id").select(
-            "item_id", F.col("at").alias("offset"), F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"), F.col("kind"))).alias("block")
-        )
-        probes = grid_windows(rows, widths, "doc_id", "words").select(
-            "doc_id", "words", "at", "fp", F.explode(blocks(F.col("fp"), F.col("kind"))).alias("block")
-        )
-        differ = F.col("fp").bitwiseXOR(F.col("item_fp"))
-        first_equal = F.coalesce(*[
-            F.when(differ.bitwiseAND(F.lit(((1 << _BLOCK) - 1) << (_BLOCK * b))) == 0, F.lit(b)) for b in range(RADIUS + 1)
-        ])
-        near = (F.bit_count(differ) <= RADIUS) & (F.shiftrightunsigned("block", _BLOCK).bitwiseAND(F.lit(7)) == first_equal)
-        met = probes.join(F.broadcast(known), "block").where(near)
-        begin = F.col("at") - F.col("offset")
-        whole = F.broadcast(some.select(F.col("item_id").alias("whole_id"), "item"))
-        found.append(met.join(whole, F.col("item_id").eqNullSafe(F.col("whole_id"))).select(
-            "doc_id", "item_id", F.greatest(begin, F.lit(0)).alias("at"), "item",
-            F.slice("words", F.greatest(begin, F.lit(0)) + 1, F.size("item") + F.least(begin, F.lit(0))).alias("window"),
-        ))
-        movable = [n for n in lengths if lost_of_item(n, threshold) >= MOVE_COST]
-        if movable:
-            found.append(moved_windows(rows, some.where(F.size("item").isin(movable)).select("item_id", "item", "h"), movable, threshold))
+        some = known.where(F.pmod("item_no", F.lit(parts)) == part) if parts > 1 else known
+        places = broadcast_if_small(written(window_places(hashed, some, sorted(sizes)), "places"))
+        texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), name).join(places, "name")
+        cut = texts.select("doc_id", "name", word_hashes(F.col("text")).alias("h"), "windows").select("doc_id", "name", "h", F.explode("windows").alias("x"))
+        cut = cut.select("doc_id", "name", "x.*", F.slice("h", F.col("x.low") + 1, F.col("x.words")).alias("w"))
+        windows = written(cut.join(broadcast_if_small(some.select("item_no", "n")), "item_no").distinct(), "windows")
+        near = near_pairs(fingerprints(windows, _WINDOW, "w"), fingerprints(some, ["item_no"], "h"), radius)
+        close = similarities(windows.join(near, _WINDOW, "left_semi"), some, sorted(sizes))
+        found.append(close.where(F.col("similarity") >= threshold).join(some.select("item_no", "item_id"), "item_no"))
     if not found:
-        none = F.lit(None).cast(named.schema["item_id"].dataType).alias("item_id")
-        return rows.limit(0).select("doc_id", none, F.lit(0.0).alias("similarity"), F.lit(0).alias("at"))
-    near = reduce(DataFrame.unionByName, found)
-    scored = near.select("doc_id", "item_id", "at", weighted_similarity(F.col("window"), F.col("item")).alias("similarity"))
-    best = scored.where(F.col("similarity") >= threshold).groupBy("doc_id", "item_id").agg(
-        F.min(F.struct(-F.col("similarity"), "at")).alias("best")
-    )
-    return best.select("doc_id", "item_id", (-F.col("best.col1")).alias("similarity"), "best.at")
+        return docs.limit(0).select(
+            F.col(id_col).alias("doc_id"), F.lit(None).cast(named.schema["item_id"].dataType).alias("item_id"),
+            F.lit(0.0).alias("similarity"), F.lit(0).alias("at"),
+        )
+    best = reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(F.min(F.struct(-F.col("similarity"), "low")).alias("best"))
+    return best.select("doc_id", "item_id", (-F.col("best.col1")).alias("similarity"), F.col("best.low").alias("at"))
