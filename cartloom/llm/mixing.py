@@ -5,10 +5,13 @@ Each source's documents are dealt into blocks. With a share of ``q`` in a period
 Among the released blocks the one with the earliest deadline takes a slot. As all shares add up to
 the period, no deadline is missed, so up to any slot a source that still has blocks is less than one
 block from its share, however many rows there are: releases and deadlines follow the running block
-number, and the period is ``SHARES``, longer than any mix, so that shares are as good as the weights. The driver schedules one slot per block, in
-one pass that holds one heap entry per source; ``plan_blocks`` slots at a time go to a stored table,
-from which Spark gives every block its slot. A source that runs out leaves its later slots empty; the
-rest go on in proportion. Every document keeps its place in the mix: none is dropped or repeated.
+number, and the period is ``SHARES``, longer than any mix, so that shares are as good as the weights.
+
+The driver schedules one slot per block, in one pass that holds one heap entry per source. Its work does not
+grow with the rows: blocks have ``BLOCK_ROWS`` rows, or as many more as it takes to have about ``PLAN_BLOCKS`` blocks
+(and one per source) at most. ``plan_blocks`` slots at a time go to a stored table, from which Spark gives every block its
+slot. A source that runs out leaves its later slots empty; the rest go on in proportion. Every document keeps
+its place in the mix: none is dropped or repeated. Each of up to ``MAX_STREAMS`` sources has a weight of its own.
 
 Null sources form the stream ``(none)``. Repeated rows and null ids are rows like all others. An
 empty table gives an empty mix. Other columns pass through; the columns added are named in
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import running_offsets, salt
+from cartloom.llm.common import running_offsets
 from cartloom.session import broadcast_if_small, fresh_folder, written
 
 MIX_COLUMNS = ["stream", "block", "row_in_block", "release", "deadline", "slot"]
@@ -32,6 +35,7 @@ NO_SOURCE, OTHER = "(none)", "(other)"
 SHARES = 1 << 32
 # Blocks of a source in a row of the stored schedule.
 PART = 1000
+BLOCK_ROWS, PLAN_BLOCKS, PART_ROWS, MAX_STREAMS = 16, 1 << 22, 100_000, 200_000
 
 
 def apportion(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -108,13 +112,14 @@ def _stored_plan(
     return spark.read.schema(schema).parquet(path)
 
 
-def tempered_weights(docs: DataFrame, source: str = "source", power: float = 0.7, max_streams: int = 1000) -> dict[str, float]:
-    """Target weights ``rows ** power`` of the ``max_streams`` largest sources; all others share one."""
-    counts = docs.groupBy(F.coalesce(F.col(source), F.lit(NO_SOURCE)).alias("stream")).count()
-    top = counts.orderBy(F.desc("count"), "stream").limit(max_streams).collect()
-    weights = {r["stream"]: float(r["count"]) ** power for r in top}
+def tempered_weights(docs: DataFrame, source: str = "source", power: float = 0.7, max_streams: int = MAX_STREAMS) -> dict[str, float]:
+    """Target weights ``rows ** power`` of all sources. Beyond ``max_streams`` sources, what the driver can hold,
+    the smallest share a stream."""
+    counts = docs.groupBy(F.coalesce(F.col(source), F.lit(NO_SOURCE)).alias("stream")).agg(F.count("*").alias("n"))
+    top = counts.orderBy(F.desc("n"), "stream").limit(max_streams).collect()
+    weights = {r.stream: float(r.n) ** power for r in top}
     if len(top) == max_streams:
-        rest = docs.count() - sum(r["count"] for r in top)
+        rest = docs.count() - sum(r.n for r in top)
         if rest:
             weights[OTHER] = weights.get(OTHER, 0.0) + float(rest) ** power
     return weights
@@ -122,35 +127,42 @@ def tempered_weights(docs: DataFrame, source: str = "source", power: float = 0.7
 
 def pfair_mix(
     docs: DataFrame, weights: dict[str, float], order_by: Column, source: str = "source",
-    block_rows: int = 16, period: int = SHARES, splits: int = 256,
+    block_rows: int | None = None, period: int = SHARES, part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Every row with its stream, block, place in the block, release, deadline and slot.
 
     Sources that ``weights`` does not name go to the stream ``(other)`` (weight: the smallest given
     one, unless named), which exists only if there are such rows. Within a source, rows are ordered by
-    ``order_by``'s hash. A source's rows are numbered in ``splits`` parts, so a source with a third of
+    ``order_by``'s hash. A source's rows are numbered in parts of about ``part_rows``, so a source with a third of
     all rows is no single task. A shorter ``period`` rounds the weights to whole slots of it.
     """
     spark = docs.sparkSession
-    named = F.coalesce(F.col(source), F.lit(NO_SOURCE))
     kept = [c for c in docs.columns if c not in MIX_COLUMNS]
+    named = spark.createDataFrame([(name,) for name in weights], "stream string")
     rows = docs.select(
-        *kept, F.when(named.isin(list(weights)), named).otherwise(OTHER).alias("stream"),
-        salt(splits, order_by).alias("__part"), F.xxhash64(F.lit(1), order_by).alias("__order"),
+        *kept, F.coalesce(F.col(source), F.lit(NO_SOURCE)).alias("__source"),
+        F.xxhash64(F.lit(0), order_by).alias("__salt"), F.xxhash64(F.lit(1), order_by).alias("__order"),
     )
-    # At most (streams x splits) rows, and both are parameters.
-    parts = written(rows.groupBy("stream", "__part").agg(F.count("*").alias("n")), "mix-parts")
-    blocks = {r["stream"]: -(-r["n"] // block_rows) for r in parts.groupBy("stream").agg(F.sum("n").alias("n")).collect()}
+    known = F.broadcast(named.withColumn("__source", F.col("stream")))  # a name for each given weight
+    rows = rows.join(known, "__source", "left").withColumn("stream", F.coalesce("stream", F.lit(OTHER))).drop("__source")
+    counts = {r.stream: r.n for r in rows.groupBy("stream").agg(F.count("*").alias("n")).collect()}
+    if block_rows is None:
+        block_rows = max(BLOCK_ROWS, -(-sum(counts.values()) // PLAN_BLOCKS))
+    blocks = {name: -(-n // block_rows) for name, n in counts.items()}
     if OTHER in blocks:
         weights = {OTHER: min(weights.values(), default=1.0), **weights}
     shares = apportion(weights, period)
     plan = _stored_plan(spark, shares, blocks, period)
-    streams = F.broadcast(spark.createDataFrame(list(shares.items()), "stream string, share long"))
-    offsets = running_offsets(parts, ["stream"], "__part").select("stream", "__part", "offset")
-    numbered = rows.withColumn(
+    streams = F.broadcast(spark.createDataFrame(
+        [(name, shares[name], -(-n // part_rows)) for name, n in counts.items()], "stream string, share long, __parts long"
+    ))
+    dealt = rows.join(streams, "stream").withColumn("__part", F.pmod("__salt", "__parts").cast("int")).drop("__salt", "__parts")
+    parts = dealt.groupBy("stream", "__part").agg(F.count("*").alias("n"))
+    offsets = written(running_offsets(parts, ["stream"], "__part").select("stream", "__part", "offset"), "mix-parts")
+    numbered = dealt.withColumn(
         "__rank", F.row_number().over(Window.partitionBy("stream", "__part").orderBy("__order"))
-    ).join(F.broadcast(offsets), ["stream", "__part"]).withColumn("__rank", F.col("__rank") - 1 + F.col("offset"))
-    placed = numbered.join(streams, "stream").select(
+    ).join(broadcast_if_small(offsets), ["stream", "__part"]).withColumn("__rank", F.col("__rank") - 1 + F.col("offset"))
+    placed = numbered.select(
         *kept, "stream", "share", F.expr(f"__rank div {block_rows}").alias("block"),
         (F.col("__rank") % block_rows).cast("int").alias("row_in_block"),
     ).withColumn("__at", F.expr(f"block div {PART}"))

@@ -113,7 +113,22 @@ def lpt_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """The documents as Parquet, one folder per shard, in slot order. Ids must be unique here."""
-    out = docs.join(assigned.select(F.col("doc_id").alias(id_col), "shard", "slot"), id_col)
+def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """The documents as Parquet, one folder per shard, in slot order.
+
+    Documents and ``assigned`` rows are matched by id (null is an id), size and checksum, and rows alike in these
+    by their number: every document is written once, whatever repeats.
+    """
+    name = ["doc_id", "size", "text_crc32"]
+    text = text_or_empty(F.col(text_col))
+    about = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).alias("doc_id"),
+        (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
+    )
+    # Equal texts are in one shard, so which of the rows alike takes which slot changes no text of a shard.
+    rows = about.withColumn("nth", F.row_number().over(Window.partitionBy(*name).orderBy(F.xxhash64("doc"))))
+    slots = assigned.withColumn("nth", F.row_number().over(Window.partitionBy(*name).orderBy("shard", "slot")))
+    same = [rows[c].eqNullSafe(slots[c]) for c in (*name, "nth")]
+    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c not in ("shard", "slot")]
+    out = rows.join(slots, same).select(*kept, slots["shard"], slots["slot"])
     out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
