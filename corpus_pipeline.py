@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cartloom.llm import decontam, langid, mixing, neardup, sharding
 from cartloom.llm.common import text_key
-from cartloom.session import fresh_folder
+from cartloom.session import fresh_folder, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -62,8 +62,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def written_order(docs: DataFrame, part_rows: int = 100_000) -> tuple[Column, Column]:
-    """Part and place in it of each row as it was written: file by file, row by row. Rows that come from
-    no file follow the frame's partitions."""
+    """Part and place in it of each row as it was written: file by file, row by row. A stage returns the columns of
+    documents only, so the order of the files is what carries the mix from one stage to the next; whoever
+    rewrites them between the stages must keep it. Rows that come from no file follow the frame's partitions."""
     try:
         stored = docs.metadataColumn("_metadata")
         docs.select(stored["row_index"])
@@ -74,8 +75,12 @@ def written_order(docs: DataFrame, part_rows: int = 100_000) -> tuple[Column, Co
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of every document; in each shard, slots follow the order of the mix."""
-    return sharding.lpt_shards(docs, order_by=written_order(docs))
+    """The shard and slot of every document; in each shard, slots follow the order of the mix.
+
+    The shards with their texts are written as well, one folder each, to ``shards-...`` in the shared folder."""
+    assigned = written(sharding.lpt_shards(docs, order_by=written_order(docs)), "shard-slots")
+    sharding.write_shards(docs, assigned, fresh_folder(spark, "shards"))
+    return assigned
 
 
 STAGES: list[tuple[str, Stage]] = [
