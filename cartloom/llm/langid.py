@@ -125,7 +125,7 @@ def _pieces(texts: list[str | None], chars: int = 500_000) -> Iterator[tuple[np.
     for i, text in enumerate(texts):
         text, at = (text or "").lower(), 0
         while at < len(text):
-            end = _word_end(text, at + chars)
+            end = _word_end(text, min(at + chars, len(text)))
             index.append(i)
             group.append(text[at:end])
             size += end - at
