@@ -208,6 +208,17 @@ def q_landing_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(tables.read_raw(spark, f"{folder}/raw"))
 
 
+def q_landing_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export whose fields hold line breaks and quotes, cut into records by all tasks."""
+    folder, name = fresh_folder(spark, "broken-lines"), B.export_name(B.AS_OF)
+    rows = _as_of_file(spark, sf_dir).withColumn("customer_city", F.concat("customer_city", F.lit('\n"x", y\n\n')))
+    keep = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**keep).csv(f"{folder}/{name}")
+    message = spark.createDataFrame([(name, B.AS_OF, B.utc_instant(B.AS_OF, 5))], "filename string, run_date date, received_at timestamp")
+    landing.land_exports(spark, message, folder, f"{folder}/raw", B.utc_instant(B.AS_OF, 6, 30))
+    return _plain(tables.read_raw(spark, f"{folder}/raw"))
+
+
 def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same exports found by a file stream; run twice, the second run finds nothing new."""
     folder = fresh_folder(spark, "stream")
@@ -232,7 +243,7 @@ def q_daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = daily.run_daily(spark, messages, f"{folder}/inbox", out, B.utc_instant(B.AS_OF, 6, 30))
     if outcome.status != "success":
         raise RuntimeError(outcome.message or outcome.status)
-    return _plain(tables.read_mart(spark, out.mart))
+    return _plain(tables.read_mart(spark, out.at(spark).mart))
 
 
 def q_dq_results_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,6 +365,7 @@ def queries() -> dict[str, Query]:
         "landing_dates": q_landing_dates,
         "landing_already_loaded": q_already_loaded,
         "landing_exports": q_landing_exports,
+        "landing_broken_lines": q_landing_broken_lines,
         "stream_landing": q_stream_landing,
         "align_schema": q_align_schema,
         "mart_stored": lambda s, d: _plain(mart_table(s, d)),

@@ -6,7 +6,8 @@ import datetime as dt
 import re
 import threading
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -17,8 +18,22 @@ from cartloom.domains import FORBIDDEN_WORDS, NON_SALES_STATUSES
 from cartloom.functions import last_complete_month, ratio_percent
 
 _FORBIDDEN = re.compile(rf"\b(?:{'|'.join(FORBIDDEN_WORDS)})\b", re.IGNORECASE)
-_JVM_CALL = re.compile(r"\b(?:reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
-_RELATION = re.compile(r"'UnresolvedRelation \[([^\]]*)\]")
+
+# Classes of parsed trees that only read. Everything else is refused, also what Spark may add later.
+READ_NODES = frozenset(
+    "Aggregate Distinct Except Filter GlobalLimit Intersect Join LocalLimit LocalRelation Offset OneRowRelation Project Sort SubqueryAlias Union "
+    "UnresolvedHaving UnresolvedInlineTable UnresolvedRelation UnresolvedSubqueryColumnAliases UnresolvedWith".split()
+)
+SUBQUERIES = frozenset("Exists ListQuery ScalarSubquery".split())
+READ_EXPRESSIONS = SUBQUERIES | frozenset(
+    "Add Alias And AttributeReference Between BitwiseAnd BitwiseNot BitwiseOr BitwiseXor CaseWhen Cast Concat CreateStruct CreateNamedStruct Cube "
+    "CurrentRow Divide EqualNullSafe EqualTo GreaterThan GreaterThanOrEqual GroupingSets If ILike In InSubquery IntegralDivide IsNotNull "
+    "IsNull LambdaFunction LessThan LessThanOrEqual Like LikeAll LikeAny Literal Multiply NamedParameter Not NotLikeAll NotLikeAny Or "
+    "RLike Remainder Rollup SortOrder SpecifiedWindowFrame Subtract UnaryMinus UnaryPositive UnboundedFollowing UnboundedPreceding "
+    "UnresolvedAlias UnresolvedAttribute UnresolvedExtractValue UnresolvedFunction UnresolvedNamedLambdaVariable UnresolvedStar "
+    "UnspecifiedFrame WindowExpression WindowSpecDefinition".split()
+)
+JVM_FUNCTIONS = frozenset({"reflect", "java_method", "try_reflect"})
 
 
 class ReadOnlyError(ValueError):
@@ -38,21 +53,95 @@ def check_read_only(text: str) -> None:
         raise ReadOnlyError("the statement contains a forbidden word")
 
 
+def _all(seq) -> Iterator:
+    return (seq.apply(i) for i in range(seq.size()))
+
+
+def _class(thing) -> str:
+    return thing.getClass().getSimpleName().rstrip("$")
+
+
+def _refuse(what: str) -> None:
+    raise ReadOnlyError(f"not allowed in a read-only query: {what}")
+
+
+@dataclass(frozen=True)
+class _Guard:
+    """Walks the tree of a parsed statement; whatever is not listed is refused."""
+
+    functions: frozenset[str]
+
+    def plan(self, node, names: frozenset[str]) -> None:
+        kind = _class(node)
+        if kind not in READ_NODES:
+            _refuse(kind)
+        if kind == "UnresolvedRelation":
+            parts = list(_all(node.multipartIdentifier()))
+            if len(parts) != 1 or parts[0].lower() not in names or not node.options().isEmpty() or node.isStreaming():
+                _refuse(".".join(parts))
+        if kind == "UnresolvedWith":
+            if node.allowRecursion():
+                _refuse("a recursive query")
+            for relation in _all(node.cteRelations()):  # each one sees those before it
+                self.plan(relation._2(), names)
+                names = names | {relation._1().lower()}
+        for expression in _all(node.expressions()):
+            self.expression(expression, names)
+        for child in _all(node.children()):
+            self.plan(child, names)
+
+    def expression(self, node, names: frozenset[str]) -> None:
+        kind = _class(node)
+        if kind not in READ_EXPRESSIONS:
+            _refuse(kind)
+        if kind == "UnresolvedFunction":
+            parts = list(_all(node.nameParts()))
+            if len(parts) != 1 or parts[0].lower() not in self.functions:
+                _refuse(f"function {'.'.join(parts)}")
+        if kind in SUBQUERIES:
+            self.plan(node.plan(), names)
+        for child in _all(node.children()):
+            self.expression(child, names)
+
+
 def check_sources(spark: SparkSession, text: str, views: Iterable[str]) -> None:
-    """Refuse parsed texts that read anything but ``views`` or call JVM methods.
+    """Refuse parsed texts that read anything but ``views`` or do anything but plain querying.
 
-    The parsed plan, with its subqueries, names every relation before anything is looked up: files
-    (``text.`/path```), other tables and table functions never reach the analyzer.
+    Nodes, expressions and functions of the parsed tree must be listed ones, subqueries and CTEs
+    included. Files, other tables, table functions, scripts, computed names (``IDENTIFIER``) and functions
+    that are not Spark's own, or that call JVM methods, never reach the analyzer.
     """
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    registry = spark._jvm.org.apache.spark.sql.catalyst.analysis.FunctionRegistry.builtin()
+    own = frozenset(f.funcName().lower() for f in _all(registry.listFunction()))
+    _Guard(own - JVM_FUNCTIONS).plan(parsed, frozenset(v.lower() for v in views))
+
+
+def check_leaves(result: DataFrame, views: Iterable[str]) -> None:
+    """Refuse an analysed query with a leaf that is neither below an allowed view nor without rows of its own."""
     allowed = {v.lower() for v in views}
-    for name in _RELATION.findall(plan):
-        if name.strip().lower() not in allowed:
-            raise ReadOnlyError(f"not an allowed view: {name}")
-    if "UnresolvedTableValuedFunction" in plan or "UnresolvedTVF" in plan:
-        raise ReadOnlyError("table functions are not allowed")
-    if _JVM_CALL.search(plan) or _JVM_CALL.search(text):
-        raise ReadOnlyError("calls of JVM methods are not allowed")
+
+    def walk(node, above: str) -> None:
+        kind = _class(node)
+        if kind == "View" and above in allowed:
+            return
+        name = node.alias().lower() if kind == "SubqueryAlias" else ""
+        children = list(_all(node.children()))
+        if not children and kind not in ("OneRowRelation", "LocalRelation", "CTERelationRef"):
+            _refuse(kind)
+        for child in [*children, *_subplans(node)]:
+            walk(child, name)
+
+    def _subplans(node) -> list:
+        plans, todo = [], list(_all(node.expressions()))
+        while todo:
+            expression = todo.pop()
+            if _class(expression) in SUBQUERIES:
+                plans.append(expression.plan())
+            todo += _all(expression.children())
+        return plans
+
+    walk(result._jdf.queryExecution().analyzed(), "")
 
 
 def read_only_sql(
@@ -69,6 +158,7 @@ def read_only_sql(
         views = [t.name for t in spark.catalog.listTables() if t.isTemporary]
     check_sources(spark, text, views)
     result = spark.sql(text, args=args)
+    check_leaves(result, views)
     return result if max_rows is None else result.limit(max_rows)
 
 

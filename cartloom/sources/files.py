@@ -1,4 +1,4 @@
-"""The two file-system calls DataFrames have no word for, on any Hadoop file system."""
+"""The few file-system calls DataFrames have no word for, on any Hadoop file system."""
 
 from __future__ import annotations
 
@@ -15,21 +15,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
-def replace(spark: SparkSession, new: str, path: str) -> None:
-    """Put the finished table ``new`` in the place of ``path``.
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, in order; none if it does not exist."""
+    system, place = _locate(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(place)) if system.exists(place) else []
+
 
-    Two renames; a crash between them leaves the old table beside the place, and the next run writes
-    and switches again.
-    """
+def create(spark: SparkSession, path: str) -> None:
+    """Make an empty file, in one step; it is an error if it is there."""
     system, place = _locate(spark, path)
-    _, ready = _locate(spark, new)
-    _, old = _locate(spark, f"{path}__old")
-    system.delete(old, True)
-    if system.exists(place):
-        system.rename(place, old)
-    if not system.rename(ready, place):
-        raise OSError(f"{new} could not be moved to {path}")
-    system.delete(old, True)
+    system.create(place, False).close()
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -481,6 +481,8 @@ def oracle_statements() -> dict[str, str]:
         "landing_already_loaded": over("", f"SELECT {raw_shown()} FROM raw WHERE _source_filename NOT IN "
                                            f"(SELECT _source_filename FROM raw WHERE _pipeline_run_date < {AS_OF})"),
         "landing_exports": over("", landed(", _email_received_date")),
+        "landing_broken_lines": over("", f"""SELECT * REPLACE (customer_city || chr(10) || '"x", y' || chr(10) || chr(10) AS customer_city)
+            FROM ({landed(", _email_received_date")} WHERE _pipeline_run_date = {AS_OF})"""),
         "stream_landing": over("", landed("")),
         "align_schema": over("", f"SELECT {', '.join(c for c in SOURCE_COLUMNS if c != 'payment_method')}, '' AS payment_method FROM raw"),
         "mart_upsert": over(upserted, f"""SELECT {MART_SHOWN} FROM (
