@@ -174,8 +174,7 @@ def _op4_sql() -> str:
             ), ' ?\n ?')) AS line FROM d) WHERE trim(line) <> ''
         ), frequent AS (
             SELECT host, line FROM lines GROUP BY host, line
-            HAVING count(DISTINCT t) > 20
-               AND count(DISTINCT t) > 0.05 * (SELECT count(DISTINCT x.t) FROM d x WHERE x.host = lines.host)
+            HAVING count(DISTINCT t) > greatest(10, least(100, 0.01 * (SELECT count(DISTINCT x.t) FROM d x WHERE x.host = lines.host)))
         ), removed AS (
             SELECT row_no, sum(words) AS removed_words FROM lines JOIN frequent USING (host, line) GROUP BY row_no
         ), counted AS (
@@ -186,7 +185,7 @@ def _op4_sql() -> str:
             FROM d LEFT JOIN repeats USING (row_no) LEFT JOIN raw_lines USING (row_no) LEFT JOIN removed USING (row_no)
         )
         SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - removed_words >= 0.3 * n_words AS kept
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - removed_words >= 0.7 * n_words AS kept
         FROM counted
     """
 
