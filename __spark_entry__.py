@@ -19,6 +19,7 @@ from cartloom.functions import safe_date, safe_int, safe_num, ws_trim
 from cartloom.operators import adhoc, assertions, batch, canonical, checks, reports, staging
 from cartloom.operators.mart import build_fct_orders
 from cartloom.operators.quarantine import reject_orders
+from cartloom.operators.reconcile import reconcile
 from cartloom.plans import daily, refresh
 from cartloom.schemas import CLEANED_SCHEMA, RAW_COLUMNS, SOURCE_COLUMNS
 from cartloom.session import fresh_folder, tune
@@ -355,6 +356,8 @@ def queries() -> dict[str, Query]:
         "dq_results_log": q_dq_results_log,
         "stage_funnel": lambda s, d: _plain(
             reports.stage_funnel(raw_table(s, d), cleaned_table(s, d), rejected_table(s, d), loads_table(s, d))),
+        "stage_reconcile": lambda s, d: reconcile(
+            raw_table(s, d), cleaned_table(s, d), rejected_table(s, d), day, _days(s, d, day)),
         "rejection_reasons": lambda s, d: reports.rejection_reasons(rejected_table(s, d), day),
         "load_quality_report": lambda s, d: reports.load_quality_report(_as_of_file(s, d)),
         "drifted_load_quality": q_drifted_quality,

@@ -64,8 +64,8 @@ def correct_revenue(rows: DataFrame) -> DataFrame:
     return parsed.withColumns(checked_revenue()).drop("_stated", "_whole", "_rest")
 
 
-def type_orders(rows: DataFrame) -> DataFrame:
-    """All per-column rules on deduplicated raw rows; row count is unchanged.
+def type_orders(rows: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """All per-column rules on deduplicated raw rows; row count is unchanged. Columns to ``carry`` come last.
 
     Projections prepare what later rules read many times, so Spark keeps them apart and computes
     each key, text and amount once.
@@ -89,7 +89,7 @@ def type_orders(rows: DataFrame) -> DataFrame:
         "shipping_status": canonical_status(F.col("shipping_status")),
         "payment_method": null_if_empty(title_words(ws_trim(F.col("payment_method")))),
     })
-    return typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEANED_SCHEMA])
+    return typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEANED_SCHEMA], *(carry or []))
 
 
 def valid_orders(orders: DataFrame, as_of: dt.date) -> DataFrame:

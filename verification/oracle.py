@@ -389,8 +389,31 @@ def oracle_statements() -> dict[str, str]:
         SELECT l_orderkey, l_linenumber, q::BIGINT AS quantity, {text_of('price', 9)} AS unit_price,
                {text_of(cents.format('r'), 2)} AS revenue, {off} AS _revenue_was_corrected FROM kept"""
 
+    # Rows are told apart by their text; a winner is cleaned if its typed values are valid.
+    def whole(columns: list[str]) -> str:
+        return f"CAST(ROW({', '.join(columns)}) AS VARCHAR)"
+
+    valid = f"""({day('order_date')}) <= {AS_OF} AND q > 0 AND p > 0 AND upper({trim('customer_state')}) IN ({lits(D.STATES)})
+          AND CASE WHEN abs(stated - expected) <= 0.02 THEN round(stated, 2) ELSE round(expected, 2) END > 0"""
+    fates = f"""winner AS (SELECT {whole(RAW_COLUMNS)} AS row_text, coalesce({valid}, false) AS kept FROM typed_expected),
+    held AS (SELECT DISTINCT {whole(REJECTED_COLUMNS)} AS held_text FROM rejected),
+    different AS (SELECT {whole(RAW_COLUMNS)} AS row_text, {whole(REJECTED_COLUMNS)} AS held_text, count(*) AS copies FROM batch GROUP BY ALL),
+    fate AS (
+      SELECT copies, coalesce(kept, false) AS kept, held_text IN (SELECT held_text FROM held) AS held, kept IS NOT NULL AS won
+      FROM different LEFT JOIN winner USING (row_text)
+    )"""
+    outcomes = {
+        "cleaned": "kept AND NOT held", "both": "kept AND held", "rejected": "held AND NOT kept",
+        "superseded": "NOT kept AND NOT held AND NOT won", "dropped": "NOT kept AND NOT held AND won",
+        "unexplained_cleaned": "false", "unexplained_rejected": "false",
+    }
+    fate_rows = " UNION ALL ".join(
+        [f"SELECT '{o}' AS outcome, count(*) FILTER ({test}) AS rows FROM fate" for o, test in outcomes.items()]
+        + ["SELECT 'copy', CAST(coalesce(sum(copies - 1), 0) AS BIGINT) FROM fate"])
+
     statements = {
         "large_amounts": large,
+        "stage_reconcile": over(",".join([CLEAN_CHAIN, rejected_cte(), fates]), fate_rows),
         "raw_orders": over("", f"SELECT {raw_shown()} FROM raw"),
         "current_batch": over(batch_cte(), f"SELECT {raw_shown()} FROM batch"),
         "latest_run": over("", f"SELECT {raw_shown()} FROM raw WHERE _pipeline_run_date = (SELECT max(_pipeline_run_date) FROM raw)"),
