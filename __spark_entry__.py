@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from cartloom import bindings as B
 from cartloom.domains import STATES, STATUS_SYNONYMS
 from cartloom.functions import safe_date, safe_int, safe_num, ws_trim
-from cartloom.operators import adhoc, assertions, batch, canonical, checks, reports, staging
+from cartloom.operators import adhoc, assertions, batch, canonical, checks, customers, reports, staging
 from cartloom.operators.mart import build_fct_orders
 from cartloom.operators.quarantine import reject_orders
 from cartloom.operators.reconcile import reconcile
@@ -165,6 +165,23 @@ def q_fct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(build_fct_orders(_cleaned(spark, sf_dir), B.AS_OF))
 
 
+def q_customer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by store and month, by store, and by category: exact, and whether the merged sketches are as near as stated."""
+    orders = cleaned_table(spark, sf_dir)
+    path = _stored(spark, sf_dir, "sketches", lambda p: customers.write_sketches(customers.customer_sketches(orders), p))
+    sketches = spark.read.parquet(path)
+    dated = orders.withColumns({"order_year": F.year("order_date").cast("int"), "order_month": F.month("order_date").cast("int")})
+
+    def level(*keys: str) -> DataFrame:
+        exact = dated.groupBy(*keys).agg(F.countDistinct("customer_id").alias("customers"))
+        both = exact.join(customers.customers_over(sketches, *keys), list(keys), "full")
+        near = F.abs(F.col("customers_estimate") - F.col("customers")) <= F.col("customers") * customers.stated_error()
+        shown = [F.concat_ws("/", *keys).alias("of"), F.lit(" and ".join(keys)).alias("by")]
+        return both.select(*shown, "customers", F.coalesce(near, F.lit(False)).alias("within_stated_error"))
+
+    return level("store_name", "order_year", "order_month").union(level("store_name")).union(level("product_category"))
+
+
 def _as_of_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_table(spark, sf_dir)
     return raw.where(F.col("_pipeline_run_date") == F.lit(B.AS_OF)).select(*SOURCE_COLUMNS)
@@ -372,6 +389,7 @@ def queries() -> dict[str, Query]:
         "stream_landing": q_stream_landing,
         "align_schema": q_align_schema,
         "mart_stored": lambda s, d: _plain(mart_table(s, d)),
+        "customer_totals": q_customer_totals,
         "mart_upsert": q_mart_upsert,
         "daily_run": q_daily_run,
         "starter_last_month": lambda s, d: _plain(adhoc.last_month_performance(mart_table(s, d), day)),

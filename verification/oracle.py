@@ -413,6 +413,13 @@ def oracle_statements() -> dict[str, str]:
 
     statements = {
         "large_amounts": large,
+        "customer_totals": over(CLEAN_CHAIN, " UNION ALL ".join(
+            f"""SELECT concat_ws('/', {', '.join(keys.values())}) AS of, '{' and '.join(keys)}' AS by,
+              count(DISTINCT customer_id) AS customers, true AS within_stated_error FROM cleaned GROUP BY {', '.join(keys.values())}"""
+            for keys in (
+                {"store_name": "store_name", "order_year": "year(order_date)", "order_month": "month(order_date)"},
+                {"store_name": "store_name"}, {"product_category": "product_category"},
+            ))),
         "stage_reconcile": over(",".join([CLEAN_CHAIN, rejected_cte(), fates]), fate_rows),
         "raw_orders": over("", f"SELECT {raw_shown()} FROM raw"),
         "current_batch": over(batch_cte(), f"SELECT {raw_shown()} FROM batch"),
