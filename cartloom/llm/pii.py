@@ -6,7 +6,7 @@ patterns, the shape of keys), a gazetteer of words that announce private data, a
 an assignment, a plain figure). Expectation-maximisation over the counts of vote patterns estimates how
 reliable each labeler is, without labels, and what share of the candidates is private. Its posteriors
 train the final classifier, naive Bayes over features of the span and its surroundings, which decides.
-Candidates it accepts that no base pattern covers are added with the kind ``secret``.
+Candidates it accepts that touch no base span are added with the kind ``secret``.
 
 Counts of (votes, features) cover all candidates of all texts. They are what reaches the driver: at
 most ``MAX_CELLS`` rows, the product of the values, whatever the corpus. Votes, features and the
@@ -202,12 +202,14 @@ def train(docs: DataFrame, text_col: str = "text") -> SpanModel:
 def find_private_spans(docs: DataFrame, model: SpanModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, the spans of each base kind and of ``secret``, as arrays of (kind, start, end)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
-    added = F.transform(
+    accepted = F.transform(
         F.filter(candidates(F.col("text")), lambda c: ~c["known"] & (model.score(c) > 0)), lambda c: _span(ADDED, c)
     )
     empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     kinds = [spans.alias(kind) for kind, spans in base_spans(F.col("text")).items()]
-    return rows.select("doc_id", *kinds, F.coalesce(added, empty).alias(ADDED))
+    found = rows.select("doc_id", *kinds, F.coalesce(accepted, empty).alias("accepted"))
+    apart = F.filter("accepted", lambda c: ~F.exists(F.concat(*KINDS), lambda x: (x["start"] < c["end"]) & (c["start"] < x["end"])))
+    return found.select("doc_id", *KINDS, apart.alias(ADDED))
 
 
 def listed(spans: Column) -> Column:
