@@ -24,6 +24,7 @@ from cartloom.plans import daily, refresh
 from cartloom.schemas import CLEANED_SCHEMA, RAW_COLUMNS, SOURCE_COLUMNS
 from cartloom.session import fresh_folder, tune
 from cartloom.sources import landing, manifest, tables
+from cartloom.streaming import arrivals
 from cartloom.streaming.landing import stream_landing
 from verification.oracle import oracle_statements
 
@@ -248,6 +249,21 @@ def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(tables.read_raw(spark, f"{folder}/raw").drop("_email_received_date"))
 
 
+def q_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late, repeated and missing exports by sender; the stream is stopped half way, and run once more without news."""
+    folder, messages = fresh_folder(spark, "arrivals"), B.repeated_messages(spark, sf_dir)
+    half = F.col("received_at") < F.lit(B.utc_instant(B.dt.date(2024, 1, 15)))
+    for part in (messages.where(half), messages.where(~half), None):
+        if part is not None:
+            part.write.mode("append").parquet(f"{folder}/inbox")
+        arrivals.stream_arrivals(spark, f"{folder}/inbox", f"{folder}/arrivals", f"{folder}/checkpoint").awaitTermination()
+    over = arrivals.read_arrivals(spark, f"{folder}/arrivals")
+    missing = arrivals.missing_exports(over, B.dt.date(2024, 1, 1), B.dt.date(2024, 1, 25))
+    name = F.concat(F.lit("e_com_sales_"), F.date_format("run_date", "yyyyMMdd"), F.lit(".csv")).alias("filename")
+    gone = missing.select("sender", name, "run_date", F.lit("missing").alias("status"))
+    return _plain(arrivals.lateness(over).unionByName(gone, allowMissingColumns=True))
+
+
 def q_daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One whole daily run on the export of ``AS_OF``; gives the mart it leaves behind."""
     folder = fresh_folder(spark, "daily")
@@ -387,6 +403,7 @@ def queries() -> dict[str, Query]:
         "landing_exports": q_landing_exports,
         "landing_broken_lines": q_landing_broken_lines,
         "stream_landing": q_stream_landing,
+        "late_arrivals": q_late_arrivals,
         "align_schema": q_align_schema,
         "mart_stored": lambda s, d: _plain(mart_table(s, d)),
         "customer_totals": q_customer_totals,

@@ -198,3 +198,10 @@ def landing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC").alias("received_at"),
         attachments.alias("attachments"),
     )
+
+
+def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message list with deliveries spread over four days: some exports come late, some again."""
+    message = landing_messages(spark, sf_dir)
+    later = F.make_dt_interval((F.col("seq") % 4).cast("int"))
+    return message.withColumn("received_at", F.col("received_at") + later)

@@ -105,3 +105,12 @@ MANIFEST_SCHEMA = _struct(
     ("received_at", T.TimestampType()),
     ("attachments", T.ArrayType(T.StringType())),
 )
+
+ARRIVALS_SCHEMA = _struct(
+    ("sender", T.StringType()),
+    ("filename", T.StringType()),
+    ("run_date", T.DateType()),
+    ("first_at", T.TimestampType()),
+    ("last_at", T.TimestampType()),
+    ("deliveries", T.LongType()),
+)

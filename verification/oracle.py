@@ -514,6 +514,24 @@ def oracle_statements() -> dict[str, str]:
         "landing_broken_lines": over("", f"""SELECT * REPLACE (customer_city || chr(10) || '"x", y' || chr(10) || chr(10) AS customer_city)
             FROM ({landed(", _email_received_date")} WHERE _pipeline_run_date = {AS_OF})"""),
         "stream_landing": over("", landed("")),
+        "late_arrivals": f"""WITH {messages_cte()},
+            got AS (SELECT sender, filename, received_at + to_days(CAST(seq % 4 AS INTEGER)) AS got_at,
+                strptime(filename[13:20], '%Y%m%d') AS day FROM messages WHERE filename IS NOT NULL),
+            numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY sender, filename ORDER BY got_at ROWS UNBOUNDED PRECEDING) AS no FROM (
+                SELECT *, CASE WHEN got_at <= lag(got_at) OVER (PARTITION BY sender, filename ORDER BY got_at) + INTERVAL 36 HOUR THEN 0 ELSE 1 END AS fresh
+                FROM got)),
+            closed AS (SELECT * FROM (SELECT sender, filename, day, no, min(got_at) AS first_at, max(got_at) AS last_at, count(*) AS deliveries
+                FROM numbered GROUP BY ALL)
+              WHERE last_at + INTERVAL 36 HOUR <= (SELECT date_trunc('milliseconds', max(got_at)) - INTERVAL 1 DAY FROM got))
+            SELECT sender, filename, {date_text('day')} AS run_date, {stamp('first_at')} AS first_at, {stamp('last_at')} AS last_at, deliveries,
+              greatest(CAST(floor(epoch_us(first_at - (day + INTERVAL 6 HOUR)) / 60000000) AS BIGINT), 0) AS minutes_late,
+              CASE WHEN no > 1 THEN 'repeat' WHEN first_at <= day + INTERVAL 6 HOUR THEN 'on_time'
+                WHEN first_at <= day + INTERVAL 375 MINUTE THEN 'late' ELSE 'alert' END AS status FROM closed
+            UNION ALL
+            SELECT sender, 'e_com_sales_' || strftime(day, '%Y%m%d') || '.csv', {date_text('day')}, NULL, NULL, NULL, NULL, 'missing'
+            FROM (SELECT DISTINCT sender FROM closed), (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-25',
+                INTERVAL 1 DAY)) AS day)
+            WHERE (sender, day) NOT IN (SELECT (sender, day) FROM closed)""",
         "align_schema": over("", f"SELECT {', '.join(c for c in SOURCE_COLUMNS if c != 'payment_method')}, '' AS payment_method FROM raw"),
         "mart_upsert": over(upserted, f"""SELECT {MART_SHOWN} FROM (
             SELECT mart.* REPLACE (CASE WHEN order_date IN (SELECT order_date FROM touched) THEN {AS_OF} ELSE {day1} END AS _last_updated)
