@@ -1,12 +1,17 @@
 """Personal data by weak supervision.
 
-Base spans of four kinds come from fixed patterns. Beside them every token with a digit and at least
-``MIN_TOKEN`` characters is a candidate for a private span, and labelers vote on it: patterns (the base
-patterns, the shape of keys), a gazetteer of words that announce private data, and the context (quotes,
-an assignment, a plain figure). Expectation-maximisation over the counts of vote patterns estimates how
-reliable each labeler is, without labels, and what share of the candidates is private. Its posteriors
-train the final classifier, naive Bayes over features of the span and its surroundings, which decides.
-Candidates it accepts that touch no base span are added with the kind ``secret``.
+Base spans of four kinds come from fixed patterns. Candidates for further private spans are tokens of at
+least ``MIN_TOKEN`` characters with a digit, values assigned to a word like ``password`` (with or without
+a digit), account numbers in groups and national phone numbers. Labelers vote on them: patterns (the
+base patterns and further forms, with their check digits), shapes of keys, a gazetteer of words that
+announce private data, assignments to words of secrets, the context (quotes, signs), and plain figures and words.
+Expectation-maximisation over the counts of vote patterns estimates how reliable each labeler is, without
+labels, and what share of the candidates is private. Its posteriors train the final classifier, naive
+Bayes over features of the span and its surroundings, which decides. A candidate of a known form has
+values of its own for length and digits, as its form explains both; feature values that were not seen
+speak for neither side, so small tables give the same verdicts as large ones wherever they know the
+value. Candidates it accepts that touch no base span are added with the kind ``secret``. Names of people
+are never candidates.
 
 Counts of (votes, features) cover all candidates of all texts. They are what reaches the driver: at
 most ``MAX_CELLS`` rows, the product of the values, whatever the corpus. Votes, features and the
@@ -42,8 +47,24 @@ PATTERNS = {
 NEEDED = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){12}", "phone": r"\+[0-9]"}
 
 MIN_TOKEN = 8
-_TOKEN = r"A-Za-z0-9@._%+/=-"
-TOKENS = rf"(?<![{_TOKEN}])(?=[{_TOKEN.replace('0-9', '')}]*+[0-9])[{_TOKEN}]{{{MIN_TOKEN},}}+"
+MIN_VALUE = 6
+_TOKEN = "A-Za-z0-9@._%+/-"
+_ENDS = r"(?![A-Za-z0-9@_%+/-])(?!\.[A-Za-z0-9])"
+# Words to which secrets are assigned.
+SECRET_WORDS = ("apikey", "api_key", "auth", "credential", "key", "login", "passwd", "password", "pwd", "secret", "token")
+_ASSIGNED = rf"(?i:{'|'.join(SECRET_WORDS)})[\"']?\x20{{0,2}}[=:]\x20{{0,2}}[\"']?"
+_VALUE = r"[^\s\"',;<>]"
+CANDIDATES = "|".join((
+    rf"(?<=[=:\"'\x20])(?<={_ASSIGNED}){_VALUE}{{{MIN_VALUE - 1},}}[^\s\"',;<>.]",
+    rf"(?<![{_TOKEN}])[A-Z]{{2}}[0-9]{{2}}(?:\x20[A-Z0-9]{{4}}){{2,7}}(?:\x20[A-Z0-9]{{1,3}})?{_ENDS}",
+    rf"\([0-9]{{2,5}}\)\x20?[0-9]{{3,8}}(?:[\x20-][0-9]{{2,5}}){{0,3}}{_ENDS}",
+    rf"(?<![{_TOKEN}])0[0-9]{{1,4}}(?:\x20[0-9]{{2,8}}){{1,4}}{_ENDS}",
+    rf"(?<![{_TOKEN}])(?=[{_TOKEN.replace('0-9', '')}]*+[0-9])[{_TOKEN}]{{{MIN_TOKEN - 1},}}[A-Za-z0-9](?:={{1,2}}+(?![{_TOKEN}]))?",
+))
+# Forms of further private numbers, beside the base patterns.
+IBAN = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?$"
+SOCIAL_NUMBER = r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"
+NATIONAL_PHONE = r"^(?:\([0-9]{2,5}\)\x20?|0[0-9]{1,4}[\x20/-]|[0-9]{3}-(?=[0-9]{3}-[0-9]{4}$))[0-9]+(?:[\x20-][0-9]+)*$"
 # Words that announce private data.
 GAZETTEER = (
     "account", "address", "api", "apikey", "auth", "bearer", "card", "contact", "credential", "email", "iban", "id", "ip",
@@ -70,6 +91,20 @@ def _is_card(match: Column) -> Column:
     return bind(_digits(match), lambda d: F.when(F.length(d).between(13, 19), luhn(d)).otherwise(False))
 
 
+def _is_iban(match: Column) -> Column:
+    """The check of account numbers: the first four characters at the end, letters as 10 to 35, rest 1 by 97."""
+    def rest(code: Column) -> Column:
+        def add(state: Column, i: Column) -> Column:
+            char = F.substring(code, i, F.lit(1))
+            letter = char.rlike("[A-Z]")
+            return F.when(letter, state * 100 + F.ascii(char) - 55).otherwise(state * 10 + F.ascii(char) - 48) % 97
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(code)), F.lit(0), add)
+
+    turned = bind(F.replace(match, F.lit(" "), F.lit("")), lambda c: F.concat(F.substring(c, F.lit(5), F.length(c)), F.left(c, F.lit(4))))
+    return F.when(match.rlike(IBAN), bind(turned, rest) == 1).otherwise(False)
+
+
 def _is_ip(match: Column) -> Column:
     parts = F.transform(F.split(match, r"\."), lambda p: F.regexp_replace(p, "^0+", ""))
     return F.forall(parts, lambda p: F.when(F.length(p) > 3, False).otherwise(
@@ -103,9 +138,9 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {kind: of(kind) for kind in KINDS}
 
 
-# Votes: 0 abstains, 1 says no, 2 says yes.
-VOTES = {"pattern": 3, "shape": 3, "gazetteer": 3, "context": 3, "figure": 3}
-FEATURES = {"length": 6, "digits": 5, "letters": 4, "opening": 4, "closing": 3, "announced": 2}
+# How many votes each labeler knows: 0 abstains, 1 says no, 2 says yes; two of them never say no.
+VOTES = {"pattern": 3, "shape": 3, "gazetteer": 2, "assignment": 2, "context": 3, "figure": 3}
+FEATURES = {"length": 7, "digits": 6, "letters": 6, "opening": 4, "announced": 3}
 MAX_CELLS = math.prod(VOTES.values()) * math.prod(FEATURES.values())
 
 
@@ -113,31 +148,38 @@ def candidates(text: Column) -> Column:
     """Structs of ``start``, ``end``, votes and features of each candidate of a text; null without any."""
     def cells(x: Column) -> Column:
         token = x["match"]
-        before = F.lower(F.right(x["before"], F.lit(CONTEXT)))
+        before = F.right(x["before"], F.lit(CONTEXT))
         last, next_ = F.right(F.rtrim(x["before"]), F.lit(1)), F.left(x["after"], F.lit(1))
         size, digits = F.length(token), F.length(_digits(token))
-        announced = F.exists(F.split(before, "[^a-z]+"), lambda w: w.isin(*GAZETTEER))
+        announced = F.exists(F.split(F.lower(before), "[^a-z]+"), lambda w: w.isin(*GAZETTEER))
+        quoted, assigned = last.isin('"', "'"), last.isin("=", ":")
+        word = token.rlike("^[a-z]+$")
+        named = before.rlike(_ASSIGNED + "$") & (~word | quoted | (last == "="))
         known = token.rlike(PATTERNS["email"]) | token.rlike(PATTERNS["ip"]) | _is_card(token)
+        phone = token.rlike(NATIONAL_PHONE) & digits.between(8, 12) & (announced | token.startswith("("))
+        formed = ~known & (_is_iban(token) | token.rlike(SOCIAL_NUMBER) | phone)
+        free = ~known & ~formed
         mixed = token.rlike("^[A-Za-z0-9+/=_-]{16,}$") & token.rlike("[A-Za-z]")
         plain = ~token.rlike("[A-Za-z]")
-        quoted, assigned = last.isin('"', "'"), last.isin("=", ":")
         yes, no, none = F.lit(2), F.lit(1), F.lit(0)
         return F.struct(
             x["start"].alias("start"), x["end"].alias("end"), known.alias("known"),
-            F.when(known, yes).when(plain, no).otherwise(none).alias("pattern"),
-            F.when(mixed & (digits >= 4), yes).when(~known & (size < 12), no).otherwise(none).alias("shape"),
-            F.when(announced, yes).otherwise(none).alias("gazetteer"),
+            F.when(~free, yes).when(plain | (word & ~named), no).otherwise(none).alias("pattern"),
+            F.when(mixed & (digits >= 4), yes).when(free & ~named & (size < 12), no).otherwise(none).alias("shape"),
+            F.when(announced | named, yes).otherwise(none).alias("gazetteer"),
+            F.when(named, yes).otherwise(none).alias("assignment"),
             F.when(quoted | assigned, yes).when(next_.isin("%", "$") | last.isin("$", "#"), no).otherwise(none).alias("context"),
-            F.when(plain & (digits < 13) & ~known, no).when(~known & (digits * 4 < size), no).otherwise(none).alias("figure"),
-            F.when(size < 10, 0).when(size < 13, 1).when(size < 17, 2).when(size < 24, 3).when(size < 40, 4).otherwise(5).alias("length"),
-            F.least(F.floor(digits * 4 / size), F.lit(4)).cast("int").alias("digits"),
-            F.when(plain, 0).when(token.rlike("^[0-9a-f]+$"), 1).when(token.rlike("^[A-Za-z0-9]+$"), 2).otherwise(3).alias("letters"),
+            F.when(free & plain, no).when(free & ~named & (digits * 4 < size), no).otherwise(none).alias("figure"),
+            F.when(~free, 6).when(size < 10, 0).when(size < 13, 1).when(size < 17, 2).when(size < 24, 3).when(size < 40, 4).otherwise(5)
+            .alias("length"),
+            F.when(~free, 5).otherwise(F.least(F.floor(digits * 4 / size), F.lit(4))).cast("int").alias("digits"),
+            F.when(known, 4).when(formed, 5).when(plain, 0).when(token.rlike("^[0-9a-f]+$"), 1).when(token.rlike("^[A-Za-z0-9]+$"), 2)
+            .otherwise(3).alias("letters"),
             F.when(quoted, 1).when(assigned, 2).when(last == "", 3).otherwise(0).alias("opening"),
-            F.when(next_.isin('"', "'"), 1).when(next_ == "", 2).otherwise(0).alias("closing"),
-            announced.cast("int").alias("announced"),
+            F.when(named, 2).when(announced, 1).otherwise(0).alias("announced"),
         )
 
-    return F.when(text.rlike("[0-9]"), F.transform(match_spans(text, TOKENS), cells))
+    return F.when(text.rlike(f"[0-9]|{_ASSIGNED}"), F.transform(match_spans(text, CANDIDATES), cells))
 
 
 @dataclass
@@ -172,24 +214,27 @@ def estimate(cells: list[dict], rounds: int = 50, prior_yes: float = 0.8) -> Spa
     for _ in range(rounds if patterns else 0):
         belief = {v: posterior(v, share, right) for v in patterns}
         total = sum(patterns.values())
-        share = min(0.99, max(0.01, sum(belief[v] * n for v, n in patterns.items()) / total))
+        # Neither class is taken to hold more than nine candidates of ten, however many base spans a small table has.
+        share = min(0.9, max(0.1, sum(belief[v] * n for v, n in patterns.items()) / total))
         for i in range(len(names)):
             # Labelers are better than a coin: two imagined right votes and one wrong, and a floor.
             hit = 2 + sum((belief[v] if v[i] == 2 else 1 - belief[v]) * n for v, n in patterns.items() if v[i])
             seen = 3 + sum(n for v, n in patterns.items() if v[i])
             right[i] = min(0.99, max(0.55, hit / seen))
-    log_odds, yes_all, no_all = {}, 1.0, 1.0
     belief = {v: posterior(v, share, right) for v in patterns}
-    yes = {f: [1.0] * k for f, k in FEATURES.items()}
-    no = {f: [1.0] * k for f, k in FEATURES.items()}
+    yes_all, no_all = 1.0, 1.0
+    yes, no = ({f: [0.0] * k for f, k in FEATURES.items()} for _ in range(2))
     for c in cells:
         p = belief[tuple(c[n] for n in names)]
         yes_all, no_all = yes_all + p * c["n"], no_all + (1 - p) * c["n"]
         for f in FEATURES:
             yes[f][c[f]] += p * c["n"]
             no[f][c[f]] += (1 - p) * c["n"]
-    for f, k in FEATURES.items():
-        log_odds[f] = [math.log(yes[f][i] / (yes_all + k)) - math.log(no[f][i] / (no_all + k)) for i in range(k)]
+    # One imagined candidate per value, shared by the classes as all candidates are: an unseen value has odds of 1.
+    part_yes, part_no = yes_all / (yes_all + no_all), no_all / (yes_all + no_all)
+    log_odds = {
+        f: [math.log((yes[f][i] + part_yes) / yes_all) - math.log((no[f][i] + part_no) / no_all) for i in range(k)] for f, k in FEATURES.items()
+    }
     return SpanModel(dict(zip(names, right, strict=True)), share, log_odds, math.log(yes_all / no_all))
 
 
