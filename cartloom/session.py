@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,6 +12,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartloom.sources import files
+
 # A frame is broadcast by hint only below these bounds; beyond them Spark picks the join.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 16 << 20
@@ -60,34 +63,54 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if rows <= max_rows and taken <= BROADCAST_BYTES else df
 
 
+SPREAD_BELOW = 8 << 20  # bytes a core: larger tables are read by splits of their files
+
+
 def spread(table: DataFrame) -> DataFrame:
-    """Use all cores on a table of few files; a table with enough files is not shuffled."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+    """Use all cores on a small table of few files; a table with enough files or bytes is not shuffled."""
+    spark, paths = table.sparkSession, table.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    few = len(paths) < cores and sum(files.size(spark, p) for p in paths) < cores * SPREAD_BELOW
+    return table.repartition(cores) if few else table
 
 
-_TUNING = ("spark.sql.codegen.hugeMethodLimit", "8000")
+# The JVM does not compile methods above 8000 bytes of code. Below that limit Spark gives up whole-stage
+# code for such a plan and uses split-up, compiled expressions instead.
+_METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+# Rows of the raw table are some ten times as large in memory as in their files. A task that sorts or groups
+# what it has read, before a shuffle, holds all rows of one split.
+_SPLIT, SPLIT_BYTES = "spark.sql.files.maxPartitionBytes", 32 << 20
+# Without open writers for the few folders a task writes, Spark sorts whole rows by folder first, and spills them.
+_WRITERS = ("spark.sql.maxConcurrentOutputFileWriters", "8")
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Set a session up for these jobs, for good: for the owner of the session only.
+def _bytes(text: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text.strip().lower()).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
 
-    The JVM does not compile methods above 8000 bytes of code. Below that limit Spark gives up
-    whole-stage code for such a plan and uses split-up, compiled expressions instead.
-    """
-    spark.conf.set(*_TUNING)
+
+def _tuning(spark: SparkSession) -> dict[str, str]:
+    split = min(_bytes(spark.conf.get(_SPLIT)), SPLIT_BYTES)
+    return dict([_METHOD_LIMIT, _WRITERS, (_SPLIT, f"{split}b")])
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set a session up for these jobs, for good: for the owner of the session only."""
+    for name, value in _tuning(spark).items():
+        spark.conf.set(name, value)
     return spark
 
 
 @contextmanager
 def tuned(spark: SparkSession) -> Iterator[None]:
     """The same within a block; afterwards the session is as it was."""
-    before = spark.conf.get(_TUNING[0], None)
-    spark.conf.set(*_TUNING)
+    before = {name: spark.conf.get(name, None) for name in _tuning(spark)}
+    tune(spark)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_TUNING[0])
-        else:
-            spark.conf.set(_TUNING[0], before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

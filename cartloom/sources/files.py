@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file."""
+    system, place = _locate(spark, path)
+    return system.getFileStatus(place).getLen()
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders in a folder, in order; none if it does not exist."""
     system, place = _locate(spark, path)
