@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cartloom.schemas import AMOUNT, CORRECTED
 
+SMALL = "decimal(18,9)"
+
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _HEX = r"^\s*([+-]?)0[xX]0*([0-9a-fA-F]{1,16})\s*$"
 
@@ -61,6 +63,21 @@ def broken_part(c: Column) -> Column:
     return c % F.lit(1).cast("decimal(1,0)")
 
 
+def small_expected(quantity: Column, price: Column, discount: Column, stated: Column) -> Column:
+    """``quantity * price - discount`` as one exact number, where it and a ``stated`` amount are of everyday size.
+
+    NULL where one of them is not below 10^9 (or missing, but for the stated one): those rows need the parts below, whose
+    remainders of wide decimals cost many times as much.
+    """
+    expected = quantity.try_cast("decimal(10,0)") * price.try_cast(SMALL) - discount.try_cast(SMALL)
+    return F.when(stated.isNull() | stated.try_cast(SMALL).isNotNull(), expected)
+
+
+def small_further_than(stated: Column, expected: Column, tolerance: Column) -> Column:
+    """Like :func:`further_than` for a :func:`small_expected` number; NULL where either is."""
+    return F.abs(stated.try_cast(SMALL) - expected) > tolerance
+
+
 def expected_parts(quantity: Column, price: Column, discount: Column) -> dict[str, Column]:
     """``quantity * price - discount`` as a whole number and a rest between -1 and 1 of any sign."""
     units = quantity.cast("decimal(19,0)")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cartloom.domains import REVENUE_TOLERANCE, STATES
 from cartloom.functions import magnitude, null_if_empty, safe_date, safe_int, safe_num, title_words, ws_trim
-from cartloom.functions.numbers import cents, expected_parts, further_than, same_sign
+from cartloom.functions.numbers import cents, expected_parts, further_than, same_sign, small_expected, small_further_than
 from cartloom.operators.batch import current_batch, dedup_latest, has_order_id
 from cartloom.operators.canonical import (
     canonical_category,
@@ -41,27 +41,41 @@ def parsed_amounts() -> dict[str, Column]:
 
 
 def checked_revenue() -> dict[str, Column]:
-    """Revenue from the parts of :func:`with_expected`: quantity × price − discount is expected.
+    """Revenue from what :func:`with_expected` gives: quantity × price − discount is expected.
 
     A stated revenue within the tolerance is kept, any other (also none at all) recomputed.
     The flag stays NULL when there was no readable revenue to compare with.
     """
     off = F.col("_revenue_was_corrected")
-    return {"revenue": F.when(~off, F.round("_stated", 2).cast(CORRECTED)).otherwise(cents(F.col("_whole"), F.col("_rest")))}
+    expected = F.when(F.col("_small").isNotNull(), F.round("_small", 2).cast(CORRECTED)).otherwise(cents(F.col("_whole"), F.col("_rest")))
+    return {"revenue": F.when(~off, F.round("_stated", 2).cast(CORRECTED)).otherwise(expected)}
 
 
 def with_expected(rows: DataFrame) -> DataFrame:
-    """Expected revenue of parsed amounts, in parts of one sign, and the flag. An overflow is an error."""
-    parts = expected_parts(F.col("quantity"), F.col("unit_price"), F.col("discount_amount"))
-    expected = rows.withColumns(parts).withColumns(same_sign(F.col("_whole"), F.col("_rest")))
-    off = further_than(F.col("_stated"), F.col("_whole"), F.col("_rest"), F.lit(REVENUE_TOLERANCE))
-    return expected.withColumn("_revenue_was_corrected", off)
+    """Expected revenue of parsed amounts and the flag: one number (``_small``) for amounts of everyday size, parts of
+    one sign for all others. An overflow is an error."""
+    return with_parts(rows, "quantity", "unit_price", "discount_amount").withColumn("_revenue_was_corrected", revenue_is_off())
+
+
+def with_parts(rows: DataFrame, quantity: str, price: str, discount: str) -> DataFrame:
+    """``_small``, or else ``_whole`` and ``_rest``: the expected revenue beside the ``_stated`` one."""
+    amounts = F.col(quantity), F.col(price), F.col(discount)
+    small = rows.withColumn("_small", small_expected(*amounts, F.col("_stated")))
+    parts = {name: F.when(F.col("_small").isNull(), part) for name, part in expected_parts(*amounts).items()}
+    return small.withColumns(parts).withColumns(same_sign(F.col("_whole"), F.col("_rest")))
+
+
+def revenue_is_off() -> Column:
+    """Whether the stated revenue is further from the expected one (see :func:`with_parts`) than the tolerance."""
+    stated, tolerance = F.col("_stated"), F.lit(REVENUE_TOLERANCE)
+    return F.when(F.col("_small").isNotNull(), small_further_than(stated, F.col("_small"), tolerance)).otherwise(
+        further_than(stated, F.col("_whole"), F.col("_rest"), tolerance))
 
 
 def correct_revenue(rows: DataFrame) -> DataFrame:
     """Typed quantity, price, discount and checked revenue in place of the raw texts."""
     parsed = with_expected(rows.withColumns(parsed_amounts()))
-    return parsed.withColumns(checked_revenue()).drop("_stated", "_whole", "_rest")
+    return parsed.withColumns(checked_revenue()).drop("_stated", "_small", "_whole", "_rest")
 
 
 def type_orders(rows: DataFrame, carry: list[str] | None = None) -> DataFrame:
