@@ -163,7 +163,8 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(build_fct_orders(_cleaned(spark, sf_dir), B.AS_OF))
+    # The mart reads its orders twice, for two narrow counts: from the stored table, not by cleaning them twice.
+    return _plain(build_fct_orders(cleaned_table(spark, sf_dir), B.AS_OF))
 
 
 def q_customer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
