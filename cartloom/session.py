@@ -82,6 +82,9 @@ _METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
 _SPLIT, SPLIT_BYTES = "spark.sql.files.maxPartitionBytes", 32 << 20
 # Without open writers for the few folders a task writes, Spark sorts whole rows by folder first, and spills them.
 _WRITERS = ("spark.sql.maxConcurrentOutputFileWriters", "8")
+# Adaptive execution joins small shuffle partitions but splits no group of rows that are counted or ranked together: with a
+# fixed few partitions, each grows with the table. It starts with many and brings them to its own target size instead.
+_PARTITIONS, LEAST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", 400
 
 
 def _bytes(text: str) -> int:
@@ -91,7 +94,8 @@ def _bytes(text: str) -> int:
 
 def _tuning(spark: SparkSession) -> dict[str, str]:
     split = min(_bytes(spark.conf.get(_SPLIT)), SPLIT_BYTES)
-    return dict([_METHOD_LIMIT, _WRITERS, (_SPLIT, f"{split}b")])
+    first = max(int(spark.conf.get(_PARTITIONS, None) or 0), int(spark.conf.get("spark.sql.shuffle.partitions")), LEAST_PARTITIONS)
+    return dict([_METHOD_LIMIT, _WRITERS, (_SPLIT, f"{split}b"), (_PARTITIONS, str(first))])
 
 
 def tune(spark: SparkSession) -> SparkSession:
