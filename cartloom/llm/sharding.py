@@ -126,9 +126,14 @@ def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col: str =
         (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
     )
     # Equal texts are in one shard, so which of the rows alike takes which slot changes no text of a shard.
-    rows = about.withColumn("nth", F.row_number().over(Window.partitionBy(*name).orderBy(F.xxhash64("doc"))))
-    slots = assigned.withColumn("nth", F.row_number().over(Window.partitionBy(*name).orderBy("shard", "slot")))
-    same = [rows[c].eqNullSafe(slots[c]) for c in (*name, "nth")]
+    # Documents and slots lie together by name, the slots of rows alike before the rows: one shuffle of the texts brings
+    # each to its slot, where a join by name and number would need another one.
+    slots = assigned.select(*name, F.struct("shard", "slot").alias("to"))
+    none = {"doc": F.lit(None).cast(about.schema["doc"].dataType), "to": F.lit(None).cast(slots.schema["to"].dataType)}
+    both = about.withColumn("to", none["to"]).unionByName(slots.withColumn("doc", none["doc"])).withColumn("is_doc", F.col("to").isNull())
+    alike = Window.partitionBy(*name, "is_doc").orderBy("to", F.xxhash64("doc"))
+    numbered = both.repartition(*name).withColumn("nth", F.row_number().over(alike))
+    matched = numbered.withColumn("at", F.lag("to").over(Window.partitionBy(*name, "nth").orderBy("is_doc")))
     kept = [F.col(f"doc.`{c}`") for c in docs.columns if c not in ("shard", "slot")]
-    out = rows.join(slots, same).select(*kept, slots["shard"], slots["slot"])
+    out = matched.where("is_doc AND at IS NOT NULL").select(*kept, "at.shard", "at.slot")
     out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
