@@ -80,10 +80,14 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     def every(n: int, rest: int = 0) -> Column:
         return k % n == rest
 
-    units = F.col("l_quantity").cast("int")
-    price = _money(F.col("l_extendedprice").cast("decimal(18,2)") * F.lit("0.001").cast("decimal(4,3)"), 12)
-    discount = _money(units * price * F.col("l_discount").cast("decimal(4,2)"))
-    exact = _money(units * price - discount)
+    # Amounts are columns of their own, as many texts are made of them: decimals of doubles cost the most of a row.
+    units, price, discount, exact = (F.col(c) for c in ("_units", "_price", "_discount", "_exact"))
+    line = line.withColumns({
+        "_units": F.col("l_quantity").cast("int"),
+        "_price": _money(F.col("l_extendedprice").cast("decimal(18,2)") * F.lit("0.001").cast("decimal(4,3)"), 12),
+    })
+    line = line.withColumn("_discount", _money(units * price * F.col("l_discount").cast("decimal(4,2)")))
+    line = line.withColumn("_exact", _money(units * price - discount))
     order_id = F.concat(F.lit("ORD-"), order, F.lit("-"), number)
     customer = (order - order % 3).cast("string")
     product = part % 25

@@ -41,28 +41,26 @@ def parsed_amounts() -> dict[str, Column]:
 
 
 def checked_revenue() -> dict[str, Column]:
-    """Revenue from what :func:`with_expected` gives: quantity × price − discount is expected.
+    """Revenue and its flag from what :func:`with_parts` gives: quantity × price − discount is expected, as one number
+    (``_small``) for amounts of everyday size, as parts of one sign for all others. An overflow is an error.
 
     A stated revenue within the tolerance is kept, any other (also none at all) recomputed.
     The flag stays NULL when there was no readable revenue to compare with.
     """
-    off = F.col("_revenue_was_corrected")
+    off = revenue_is_off()  # used twice in one projection, which computes it once
     expected = F.when(F.col("_small").isNotNull(), F.round("_small", 2).cast(CORRECTED)).otherwise(cents(F.col("_whole"), F.col("_rest")))
-    return {"revenue": F.when(~off, F.round("_stated", 2).cast(CORRECTED)).otherwise(expected)}
-
-
-def with_expected(rows: DataFrame) -> DataFrame:
-    """Expected revenue of parsed amounts and the flag: one number (``_small``) for amounts of everyday size, parts of
-    one sign for all others. An overflow is an error."""
-    return with_parts(rows, "quantity", "unit_price", "discount_amount").withColumn("_revenue_was_corrected", revenue_is_off())
+    return {"revenue": F.when(~off, F.round("_stated", 2).cast(CORRECTED)).otherwise(expected), "_revenue_was_corrected": off}
 
 
 def with_parts(rows: DataFrame, quantity: str, price: str, discount: str) -> DataFrame:
-    """``_small``, or else ``_whole`` and ``_rest``: the expected revenue beside the ``_stated`` one."""
+    """``_small``, or else ``_whole`` and ``_rest``: the expected revenue beside the ``_stated`` one.
+
+    Each projection copies whole rows, so there are no more of them than needed to compute every part once.
+    """
     amounts = F.col(quantity), F.col(price), F.col(discount)
-    small = rows.withColumn("_small", small_expected(*amounts, F.col("_stated")))
-    parts = {name: F.when(F.col("_small").isNull(), part) for name, part in expected_parts(*amounts).items()}
-    return small.withColumns(parts).withColumns(same_sign(F.col("_whole"), F.col("_rest")))
+    small = small_expected(*amounts, F.col("_stated"))
+    parts = {name: F.when(small.isNull(), part) for name, part in expected_parts(*amounts).items()}
+    return rows.withColumns({"_small": small, **parts}).withColumns(same_sign(F.col("_whole"), F.col("_rest")))
 
 
 def revenue_is_off() -> Column:
@@ -74,7 +72,7 @@ def revenue_is_off() -> Column:
 
 def correct_revenue(rows: DataFrame) -> DataFrame:
     """Typed quantity, price, discount and checked revenue in place of the raw texts."""
-    parsed = with_expected(rows.withColumns(parsed_amounts()))
+    parsed = with_parts(rows.withColumns(parsed_amounts()), "quantity", "unit_price", "discount_amount")
     return parsed.withColumns(checked_revenue()).drop("_stated", "_small", "_whole", "_rest")
 
 
@@ -91,7 +89,7 @@ def type_orders(rows: DataFrame, carry: list[str] | None = None) -> DataFrame:
         "product_category": ws_trim(F.col("product_category")),
         "shipping_status": ws_trim(F.col("shipping_status")),
     })
-    typed = with_expected(prepared).withColumns({
+    typed = with_parts(prepared, "quantity", "unit_price", "discount_amount").withColumns({
         **customer_columns(),
         **checked_revenue(),
         "order_id": ws_trim(F.col("order_id")),

@@ -14,7 +14,13 @@ from cartloom.schemas import (
 )
 from cartloom.sources.files import exists
 
-CODEC = {"compression": "zstd"}  # whole rows of text: smaller by a third than by the default
+# Ids, names and amounts differ from row to row. Looking each up in a dictionary took a third of the time of a write, and the
+# compressed files are no smaller for it; columns of few values keep theirs.
+VARIED = ("order_id", "customer_id", "customer_name", "customer_email", "unit_price", "discount_amount", "revenue")
+CODEC = {
+    "compression": "zstd",  # whole rows of text: smaller by a third than by the default
+    **{f"parquet.enable.dictionary#{name}": "false" for name in VARIED},
+}
 
 STARTED, LOADED, EMPTY, BAD_DATE = "started", "loaded", "empty", "bad_date"
 
