@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartloom.functions import is_blank, utc_instant
-from cartloom.schemas import RAW_COLUMNS
+from cartloom.functions.packing import pack_texts, unpack_texts
+from cartloom.schemas import SOURCE_COLUMNS
 
 
 def current_batch(raw: DataFrame, as_of: dt.date, run_dates: list[dt.date] | None = None) -> DataFrame:
@@ -106,10 +107,12 @@ def dedup_latest(rows: DataFrame, key: str = "order_id") -> DataFrame:
     The order is total up to exact copies, so the result does not depend on partitioning,
     and exact copies need no DISTINCT (with its shuffle of whole rows) beforehand. Spark
     keeps the top row per order already before the shuffle (``WindowGroupLimit``), which
-    leaves at most one row per task of an order that fills much of the table.
+    leaves at most one row per task of an order that fills much of the table. The texts of a row
+    travel as one, which is in order as they are.
     """
-    rest = [c for c in RAW_COLUMNS if c not in ("order_id", "_ingested_at", "_source_filename")]
+    texts = [c for c in SOURCE_COLUMNS if c != "order_id"]
     ranking = [F.col("_ingested_at").desc_nulls_last(), F.col("_source_filename").desc_nulls_last()]
-    ranking += [F.col(c).asc_nulls_last() for c in ["order_id", *rest]]
+    ranking += [F.col(c).asc_nulls_last() for c in ("order_id", "_texts", "_pipeline_run_date", "_email_received_date")]
     newest_first = Window.partitionBy(key).orderBy(*ranking)
-    return rows.withColumn("_rank", F.row_number().over(newest_first)).where("_rank = 1").drop("_rank")
+    newest = pack_texts(rows, texts).withColumn("_rank", F.row_number().over(newest_first)).where("_rank = 1")
+    return unpack_texts(newest, texts, rows.columns)

@@ -56,6 +56,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def held(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The same for as long as the block lasts; afterwards the table is gone."""
+    spark = df.sparkSession
+    path = fresh_folder(spark, label)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        files.remove(spark, path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting rows and bytes (as text); a larger frame is left to the optimizer."""
     size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
@@ -85,6 +97,9 @@ _WRITERS = ("spark.sql.maxConcurrentOutputFileWriters", "8")
 # Adaptive execution joins small shuffle partitions but splits no group of rows that are counted or ranked together: with a
 # fixed few partitions, each grows with the table. It starts with many and brings them to its own target size instead.
 _PARTITIONS, LEAST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", 400
+# Shuffle files stay until the driver happens to collect its garbage, so a run of many steps fills the disks with those of
+# steps long done. With this they go when their step ends; a frame that is run again shuffles again.
+_CLEANUP = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def _bytes(text: str) -> int:
@@ -95,7 +110,7 @@ def _bytes(text: str) -> int:
 def _tuning(spark: SparkSession) -> dict[str, str]:
     split = min(_bytes(spark.conf.get(_SPLIT)), SPLIT_BYTES)
     first = max(int(spark.conf.get(_PARTITIONS, None) or 0), int(spark.conf.get("spark.sql.shuffle.partitions")), LEAST_PARTITIONS)
-    return dict([_METHOD_LIMIT, _WRITERS, (_SPLIT, f"{split}b"), (_PARTITIONS, str(first))])
+    return dict([_METHOD_LIMIT, _WRITERS, _CLEANUP, (_SPLIT, f"{split}b"), (_PARTITIONS, str(first))])
 
 
 def tune(spark: SparkSession) -> SparkSession:
